@@ -1,0 +1 @@
+"""Nothing here: every job of this engine is a batch job over a dated slice."""
