@@ -346,20 +346,24 @@ def onehot_long(spark, sf_dir):
 # --- text ----------------------------------------------------------------------------------
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.spread(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 @query
 def punctuation(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", text.punctuation_to_space(F.col("text")).alias("plain"))
 
 
 @query
 def clean_text(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", text.clean_text(F.col("text")).alias("clean"))
 
 
 def kept_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", text.drop_stopwords(
+    return documents(spark, sf_dir).select("doc_id", text.drop_stopwords(
         text.clean_text(F.col("text")), text.stopwords(spark)).alias("kept"))
 
 
@@ -377,7 +381,7 @@ def stem_dictionary(spark, sf_dir):
 
 def counted_terms(spark: SparkSession, sf_dir: str, stems: bool) -> DataFrame:
     if stems:
-        rows = read(spark, sf_dir, "documents").select(
+        rows = documents(spark, sf_dir).select(
             "doc_id", text.bag_terms(F.col("text"), text.stopwords(spark)).alias("terms"))
     else:
         rows = kept_words(spark, sf_dir).select("doc_id", text.index_terms("kept").alias("terms"))
@@ -391,9 +395,8 @@ def document_frequency(spark, sf_dir):
 
 def weights(spark: SparkSession, sf_dir: str, stems: bool) -> DataFrame:
     counted = counted_terms(spark, sf_dir, stems)
-    documents = read(spark, sf_dir, "documents").count()
-    found = encode.term_weights(
-        counted, encode.document_frequencies(counted), documents, "doc_id")
+    total = read(spark, sf_dir, "documents").count()
+    found = encode.term_weights(counted, encode.document_frequencies(counted), total, "doc_id")
     return found.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.sources.scan import spread
+
 CODE_SQL = """'3.' || substr(o_orderpriority, 1, 1) || '.90.'
  || case when o_orderkey % 20 = 0 then '92' else cast(30 + c_nationkey % 5 as string) end || '.'
  || case when o_orderkey % 2 = 0 then '01' when o_orderkey % 3 = 0 then '02'
@@ -99,6 +101,8 @@ def commitments(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     names = names or tuple(list(COLUMNS)[:44])
     needed = _needed(names)
     rows = read(spark, sf_dir, "orders")
+    if "documents" in needed:
+        rows = spread(rows, "o_orderkey")
     if "customer" in needed:
         rows = rows.join(read(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
     if "nation" in needed:

@@ -70,6 +70,15 @@ def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
         *[F.col(f"`{header}`").alias(normalise_name(header)) for header in S.SOURCE_HEADERS])
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Hash a plain scan over all cores if it has fewer splits than cores, as a small file has.
+
+    A large table has more splits than cores and is left alone, so nothing large is shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def require_rows(df: DataFrame) -> DataFrame:
     if df.isEmpty():
         raise EmptyInput("no commitment matches the filters")
