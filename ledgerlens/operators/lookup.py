@@ -19,7 +19,7 @@ def lookup(
     limit: int = BROADCAST_BYTES,
     weights: DataFrame | None = None,
 ) -> DataFrame:
-    """``rows`` left join ``table`` (staged, one row per ``key``) on ``key``.
+    """``rows`` left join ``table`` (staged, one row per ``key``, a string) on ``key``.
 
     A table of measured small size is broadcast. Otherwise the keys that own more than
     1/HOT_SHARE of the rows (there are fewer than HOT_SHARE of them) are served from a broadcast
@@ -38,12 +38,15 @@ def lookup(
         .join(table, key)
         .select(key, F.struct(*values).alias("_hot"))
     )
-    marked = rows.join(F.broadcast(staged(hot, "hot")), key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(SALTS)) + 1)
-        .otherwise(F.lit(0)),
-    )
-    cold = table.select(key, F.struct(*values).alias("_cold"), F.lit(0).cast("long").alias("_salt"))
-    joined = marked.join(cold, [key, "_salt"], "left")
-    found = F.coalesce("_hot", "_cold")
+    # A hot row, or one without a key, needs no partner from the shuffle: its slot is the key
+    # plus a salt, which sends it anywhere. Should such a slot happen to be a key of the table,
+    # the value found there is not used.
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("string")
+    anywhere = F.concat(F.coalesce(F.col(key), F.lit("")), F.lit("\u0001"), salt)
+    slotted = rows.join(F.broadcast(staged(hot, "hot")), key, "left").withColumn(
+        "_slot", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), anywhere)
+        .otherwise(F.col(key)))
+    cold = table.select(F.col(key).alias("_slot"), F.struct(*values).alias("_cold"))
+    joined = slotted.join(cold, "_slot", "left")
+    found = F.when(F.col(key).isNotNull(), F.coalesce("_hot", "_cold"))
     return joined.select(*rows.columns, *[found[c].alias(c) for c in values])

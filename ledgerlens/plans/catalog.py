@@ -34,10 +34,11 @@ AS_OF = dt.date(2000, 3, 2)
 FLOOR = 200
 SAMPLE = 1000
 
-# Small models, so that every query ends in minutes on one machine.
+# Small models, so that every query ends within a minute or so on one machine: few trees, few
+# iterations, and one penalty for the linear machines (the tests search a grid).
 SMALL_TEXT = TextOptions(vector_size=32, min_word_count=2)
 SMALL = ModelOptions(
-    trees=20, correctness_trees=20, depth=6, svm_grid=(1.0, 10.0), svm_iterations=5,
+    trees=20, correctness_trees=20, depth=6, svm_grid=(1.0,), svm_iterations=2,
     parallelism=8, linear_grid=(0.0, 0.01), linear_iterations=20, text=SMALL_TEXT)
 
 
