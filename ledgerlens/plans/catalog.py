@@ -229,7 +229,7 @@ def keyed_merge(spark, sf_dir):
 
 def given_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, known = inference_input(spark, sf_dir)
-    return infer(rows, known, given_predictions, AS_OF)
+    return infer(rows, known, lambda scored, kept: given_predictions(scored), AS_OF)
 
 
 @query

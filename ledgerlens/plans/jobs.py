@@ -27,7 +27,8 @@ VERDICT_HOLDOUT = 20
 SECTIONS = ("above", "below")
 SCORING_CATEGORIES = [*S.CODE_CATEGORIES, "grupo_despesa", S.CODE]
 
-Scorer = Callable[[DataFrame], DataFrame]
+# Takes commitments and the names of columns to keep, gives them with ``predicted``, ``verdict``.
+Scorer = Callable[[DataFrame, list[str]], DataFrame]
 
 
 @dataclass
@@ -130,12 +131,15 @@ def infer(
     ``order`` names the columns that say which of several rows of one identifier is the last.
     """
     order = order or [S.PERIOD]
-    noted = with_scope(commitments, scope)
-    notes = noted.where(F.col("scope_note").isNotNull()).select(
-        S.ID, S.CODE, *order, "scope_note")
-    scored = score(noted.where(F.col("scope_note").isNull()).drop("scope_note")).select(
-        S.ID, S.CODE, *order, "predicted", "verdict")
-    return keyed_merge(notes.unionByName(scored, allowMissingColumns=True), order, as_of)
+    # Under names of their own, since scoring derives other columns from the period.
+    place = {f"_place{at}": F.col(name) for at, name in enumerate(order)}
+    noted = with_scope(commitments, scope).withColumns(place)
+    kept = [S.ID, S.CODE, *place]
+    notes = noted.where(F.col("scope_note").isNotNull()).select(*kept, "scope_note")
+    in_scope = noted.where(F.col("scope_note").isNull()).drop("scope_note")
+    scored = score(in_scope, list(place)).select(*kept, "predicted", "verdict")
+    return keyed_merge(
+        notes.unionByName(scored, allowMissingColumns=True), list(place), as_of)
 
 
 def inference_job(
@@ -145,9 +149,7 @@ def inference_job(
 ) -> tuple[DataFrame, DataFrame]:
     """Score commitments, write the results and return them with their distribution."""
     models = Models.load(store, algorithm, options)
-    order = order or [S.PERIOD]
-    results = infer(commitments, store.load_scope(),
-                    lambda rows: models.score(rows, order), as_of, order)
+    results = infer(commitments, store.load_scope(), models.score, as_of, order)
     name = run_name(as_of, **filters)
     written = write_results(results, output, name, as_of)
     distribution = result_distribution(written)
