@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schema as S
 from ledgerlens.functions.derive import min_max
 from ledgerlens.operators.lookup import lookup
+from ledgerlens.operators.ranking import ordered_index
 from ledgerlens.sources.staging import checked_broadcast, staged
 
 PROCESS_COUNT = "empenhos_por_processo"
@@ -64,13 +65,11 @@ def category_values(rows: DataFrame, columns: list[str], extra: list[str] = [])
 def fit_vocabulary(train: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, index): sorted distinct values of each category column, from 0.
 
-    The distinct values are found with map-side combining; the window orders the vocabulary of a
-    column, not its rows.
+    The distinct values are found with map-side combining and numbered without bringing the
+    vocabulary of a column into one task.
     """
     values = category_values(train, columns).distinct()
-    order = Window.partitionBy("column").orderBy("value")
-    return staged(
-        values.withColumn("index", (F.row_number().over(order) - 1).cast("int")), "vocabulary")
+    return staged(ordered_index(values, "column", "value"), "vocabulary")
 
 
 def one_hot_positions(

@@ -76,12 +76,12 @@ def split_by(df: DataFrame, mask: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def without_codes(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
-    codes = listed.select(F.col(column).alias(S.CODE)).distinct()
+    codes = listed.select(F.col(column).alias(S.CODE))
     return df.join(checked_broadcast(codes), S.CODE, "left_anti")
 
 
 def with_codes(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
-    codes = listed.select(F.col(column).alias(S.CODE)).distinct()
+    codes = listed.select(F.col(column).alias(S.CODE))
     return df.join(checked_broadcast(codes), S.CODE, "left_semi")
 
 

@@ -1,7 +1,8 @@
 """Exact ranks inside large groups without sorting a group in one task.
 
-Rows carry a hexadecimal hash key. A histogram over the first digits of the key, built with
-map-side combining, tells in which bucket each wanted rank lies; only that bucket is sorted.
+For random ranks, rows carry a hexadecimal hash key. A histogram over the first digits of the
+key, built with map-side combining, tells in which bucket each wanted rank lies; only that bucket
+is sorted. For ranks in value order, the values are range-partitioned into files first.
 """
 
 from __future__ import annotations
@@ -69,3 +70,28 @@ def rank_cuts(keyed_rows: DataFrame, hist: DataFrame, targets: DataFrame) -> Dat
 def at_or_before(cut: Column) -> Column:
     """Whether a keyed row ranks no later than the row the cut names."""
     return F.struct(KEY, TIE) <= F.struct(cut[KEY].alias(KEY), cut[TIE].alias(TIE))
+
+
+def ordered_index(values: DataFrame, group: str, value: str) -> DataFrame:
+    """Distinct (group, value) rows numbered from 0 within their group, in value order.
+
+    A distributed sort is written out; a file then holds a contiguous run of a group, so a number
+    is the rows of the group in earlier files plus the place within the file. No task sees more
+    than one file's rows, however large a vocabulary is.
+    """
+    runs = staged(values.orderBy(group, value), "ordered").withColumn(
+        "_file", F.col("_metadata.file_name"))
+    earlier = Window.partitionBy(group).orderBy("_first").rowsBetween(
+        Window.unboundedPreceding, -1)
+    starts = staged(
+        runs.groupBy(group, "_file").agg(F.count("*").alias("_n"), F.min(value).alias("_first"))
+        .withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .select(group, "_file", "_start"),
+        "starts",
+    )
+    place = F.row_number().over(Window.partitionBy(group, "_file").orderBy(value)) - 1
+    return (
+        runs.join(checked_broadcast(starts), [group, "_file"])
+        .withColumn("index", (F.col("_start") + place).cast("int"))
+        .select(*values.columns, "index")
+    )

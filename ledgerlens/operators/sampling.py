@@ -6,16 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.ranking import (
-    BUCKET, GROUP, KEY, TIE, at_or_before, group_sizes, histogram, keyed, rank_cuts,
+    GROUP, KEY, TIE, at_or_before, group_sizes, histogram, keyed, ordered_index, rank_cuts,
 )
-from ledgerlens.sources.staging import checked_broadcast, staged
+from ledgerlens.sources.staging import checked_broadcast
 
 SEED = 15
 
 
 def sample_rows(rows: DataFrame, n: int, identifier: str, seed: int = SEED) -> DataFrame:
     """``n`` rows with the smallest hash of (identifier, seed); all rows if there are fewer."""
-    marked = keyed(rows, identifier, None, seed, digits=4)
+    marked = keyed(rows, identifier, None, seed, digits=3)
     hist = histogram(marked)
     total = hist.agg(F.sum("n").alias("n")).first()["n"] or 0
     if n >= total:
@@ -107,7 +107,18 @@ def stratified_folds(
 
 
 def label_codes(rows: DataFrame, label: str) -> DataFrame:
-    """Sorted distinct labels numbered from 0. The window runs over labels, not rows."""
-    labels = rows.select(label).where(F.col(label).isNotNull()).distinct()
-    order = Window.partitionBy(F.lit(0)).orderBy(label)
-    return labels.select(label, (F.row_number().over(order) - 1).cast("int").alias("code"))
+    """Sorted distinct labels numbered from 0."""
+    labels = rows.where(F.col(label).isNotNull()).select(F.lit(0).alias(GROUP), label).distinct()
+    return ordered_index(labels, GROUP, label).select(label, F.col("index").alias("code"))
+
+
+def encode_labels(rows: DataFrame, label: str, codes: DataFrame) -> DataFrame:
+    return rows.join(checked_broadcast(codes), label)
+
+
+def decode_labels(rows: DataFrame, code: str, codes: DataFrame) -> DataFrame:
+    """Replace a column of numbers by the labels they stand for."""
+    names = codes.select(F.col("code").alias(code), F.col(codes.columns[0]).alias("_name"))
+    decoded = rows.join(checked_broadcast(names), code, "left")
+    return decoded.select(*[
+        F.col("_name").alias(c) if c == code else F.col(f"`{c}`") for c in rows.columns])

@@ -433,7 +433,18 @@ def stratified_folds(spark, sf_dir):
 @query
 def label_encode(spark, sf_dir):
     rows = commitments(spark, sf_dir, S.ID, S.CODE)
-    return rows.join(sampling.label_codes(rows, S.CODE), S.CODE).select(S.ID, S.CODE, "code")
+    codes = staged(sampling.label_codes(rows, S.CODE), "label-codes")
+    return sampling.encode_labels(rows, S.CODE, codes).select(S.ID, S.CODE, "code")
+
+
+@query
+def label_decode(spark, sf_dir):
+    """Codes of a prediction turned back into labels."""
+    rows = predictions(spark, sf_dir)
+    codes = staged(sampling.label_codes(rows, "predicted"), "label-codes")
+    numbers = sampling.encode_labels(rows, "predicted", codes).select(S.ID, "code")
+    return sampling.decode_labels(numbers, "code", codes).select(
+        S.ID, F.col("code").alias("label"))
 
 
 # --- reports -------------------------------------------------------------------------------

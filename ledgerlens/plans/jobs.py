@@ -80,7 +80,7 @@ def training_job(
         trained = train_code_classifier(part, algorithm, options)
         trained.classifier.save(store, section)
         reports[section] = trained.report
-    judged = prepare(validated, S.VERDICT_CATEGORIES, [S.ID, S.VERDICT], "tfidf")
+    judged = prepare(validated, S.VERDICT_CATEGORIES, [S.ID, S.VERDICT], ALGORITHMS["rf"])
     trained = train_correctness(judged, options)
     trained.classifier.save(store, "correctness")
     reports["correctness"] = trained.report
@@ -105,13 +105,14 @@ class Models:
         above, below = [Classifier.load(store, section, S.CODE_CATEGORIES, text, options.text)
                         for section in SECTIONS]
         verdict = Classifier.load(
-            store, "correctness", S.VERDICT_CATEGORIES, "tfidf", options.text)
+            store, "correctness", S.VERDICT_CATEGORIES, ALGORITHMS["rf"], options.text)
         return cls(above, below, verdict, algorithm)
 
     def score(self, rows: DataFrame, extra: list[str]) -> DataFrame:
         """``rows`` (commitments) with ``predicted`` code and ``verdict``, and ``extra`` columns."""
-        texts = "+".join(sorted({ALGORITHMS[self.algorithm], "tfidf"}))
-        prepared = prepare(rows, SCORING_CATEGORIES, list(dict.fromkeys([S.ID, *extra])), texts)
+        texts = "+".join(sorted({ALGORITHMS[self.algorithm], ALGORITHMS["rf"]}))
+        prepared = prepare(rows, SCORING_CATEGORIES, list(dict.fromkeys([S.ID, *extra])), texts,
+                           stage=False)
         scored = self.correctness.score(
             self.below.score(self.above.score(prepared, "above"), "below"), "verdict")
         predicted = ensemble_pick(

@@ -252,6 +252,9 @@ ORACLES["label_encode"] = base(S.ID, S.CODE) + (
     f"select {S.ID}, {S.CODE}, cast(dense_rank() over (order by {S.CODE}) - 1 as int) as code "
     "from commitments")
 
+ORACLES["label_decode"] = base(*KEYS, extra=GIVEN) + (
+    f"select {S.ID}, predicted as label from given")
+
 ORACLES["minmax_fit"] = base(*S.AMOUNTS) + " union all ".join(
     f"select '{c}' as \"column\", min({c}) as low, max({c}) as high from commitments"
     for c in S.AMOUNTS)

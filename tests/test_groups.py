@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schema as S
 from ledgerlens.operators import encode, report, sampling
 from ledgerlens.operators.lookup import lookup
+from ledgerlens.operators.ranking import ordered_index
 from ledgerlens.sources.staging import checked_broadcast, staged
 
 
@@ -236,3 +237,24 @@ def test_best_candidate_prefers_the_first_of_equals(spark):
         [("e1", 0, 0.5), ("e2", 1, 0.9), ("e3", 2, 0.9), ("e4", 3, 0.1)],
         "candidate string, ord int, accuracy double")
     assert report.best_candidate(table).first()["candidate"] == "e2"
+
+
+def test_ordered_index_over_several_files(spark):
+    rows = [(g, f"v{i:04d}") for g in "abc" for i in range(200)]
+    values = spark.createDataFrame(rows, "g string, v string").repartition(7)
+    saved = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found = ordered_index(values, "g", "v").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", saved)
+    assert len(found) == 600 and all(r["index"] == int(r.v[1:]) for r in found)
+
+
+def test_decoding_undoes_encoding(spark):
+    rows = skewed(spark, 300)
+    codes = staged(sampling.label_codes(rows, S.CODE), "codes")
+    numbers = sampling.encode_labels(rows, S.CODE, codes).select(S.ID, "code")
+    back = sampling.decode_labels(numbers, "code", codes)
+    assert {(r[S.ID], r.code) for r in back.collect()} == {
+        (r[S.ID], r[S.CODE]) for r in rows.collect()}

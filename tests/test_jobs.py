@@ -77,7 +77,7 @@ def test_evaluation_job(trained, tables, tmp_path):
 
 def test_reloaded_models_score_equally(trained, tables):
     store, _ = trained
-    one, two = [models.Classifier.load(store, "above", S.CODE_CATEGORIES, "tfidf") for _ in "ab"]
+    one, two = [models.Classifier.load(store, "above", S.CODE_CATEGORIES, "hashed") for _ in "ab"]
     rows = prepare(tables[0].limit(50), S.CODE_CATEGORIES, [S.ID, S.CODE], "tfidf")
     first, second = [m.score(rows, "m").orderBy(S.ID).collect() for m in (one, two)]
     assert first == second and len(first) == 50
@@ -100,7 +100,7 @@ def test_text_vectors_equal_the_term_table(spark, sf_dir):
     rows = staged(catalog.documents(spark, sf_dir).limit(40).select(
         F.col("doc_id").cast("string").alias("id"),
         F.split(F.lower("text"), "[^a-z]+").alias(TERMS)), "bags")
-    stages = fit_tfidf(rows, TextOptions())
+    stages = fit_tfidf(rows, 1 << 18)
     words = stages[0].vocabulary
     scored = rows
     for stage in stages:
@@ -117,12 +117,12 @@ def test_text_vectors_equal_the_term_table(spark, sf_dir):
 
 def test_hashed_terms_beyond_the_vocabulary_bound(spark):
     rows = spark.createDataFrame([("1", ["a", "b"]), ("2", ["c"])], f"id string, {TERMS} array<string>")
-    stages = fit_tfidf(rows, TextOptions(vocabulary=2, buckets=64))
+    stages = fit_tfidf(rows, 2)
     scored = rows
     for stage in stages:
         scored = stage.transform(scored)
     vectors = [r[TEXT_FEATURES] for r in scored.collect()]
-    assert [v.size for v in vectors] == [64, 64]
+    assert [v.size for v in vectors] == [2, 2]
     assert all(abs(sum(x * x for x in v.values) - 1) < 1e-9 for v in vectors)
 
 
