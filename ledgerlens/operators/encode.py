@@ -9,7 +9,7 @@ from ledgerlens import schema as S
 from ledgerlens.functions.derive import min_max
 from ledgerlens.operators.lookup import lookup
 from ledgerlens.operators.ranking import ordered_index
-from ledgerlens.sources.staging import checked_broadcast, staged
+from ledgerlens.sources.staging import staged
 
 PROCESS_COUNT = "empenhos_por_processo"
 
@@ -75,9 +75,14 @@ def fit_vocabulary(train: DataFrame, columns: list[str]) -> DataFrame:
 def one_hot_positions(
     rows: DataFrame, vocabulary: DataFrame, columns: list[str], identifier: str = S.ID
 ) -> DataFrame:
-    """(identifier, column, index) of the ones; a value not in the vocabulary gives no row."""
-    cells = category_values(rows, columns, [identifier])
-    return cells.join(checked_broadcast(vocabulary), ["column", "value"]).select(
+    """(identifier, column, index) of the ones; a value not in the vocabulary gives no row.
+
+    A frequent value is a hot join key, which ``lookup`` spreads.
+    """
+    cell = F.concat_ws("=", "column", "value").alias("_cell")
+    cells = category_values(rows, columns, [identifier]).select(identifier, "column", cell)
+    known = vocabulary.select(cell, "index")
+    return lookup(cells, known, "_cell", identifier).where(F.col("index").isNotNull()).select(
         identifier, "column", "index")
 
 

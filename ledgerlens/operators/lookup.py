@@ -27,9 +27,9 @@ def lookup(
     table in an ordinary shuffled join. ``weights`` (key, n) gives the rows per key if they are
     known already.
     """
-    if fits_broadcast(table, limit):
-        return rows.join(F.broadcast(table), key, "left")
     values = [c for c in table.columns if c != key]
+    if fits_broadcast(table, limit):
+        return rows.join(F.broadcast(table), key, "left").select(*rows.columns, *values)
     if weights is None:
         weights = staged(rows.groupBy(key).agg(F.count("*").alias("n")), "weights")
     total = weights.agg(F.sum("n").alias("n")).first()["n"] or 0

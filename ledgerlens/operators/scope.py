@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schema as S
 from ledgerlens.functions.verdict import ELEMENT_92, EXPIRED, IN_SCOPE, scope_verdict
 from ledgerlens.operators.filters import element_92, positive_balance
+from ledgerlens.operators.lookup import lookup
 from ledgerlens.sources.staging import checked_broadcast, staged
 
 POPULATION_FLOOR = 200
@@ -55,7 +56,8 @@ def scope_map(profile: DataFrame) -> DataFrame:
 def cleaned_rows(df: DataFrame, profile: DataFrame) -> DataFrame:
     """Training rows with the section that learns from them."""
     sections = profile.where(F.col("section").isNotNull()).select(S.CODE, "section")
-    return df.where(positive_balance()).join(checked_broadcast(sections), S.CODE)
+    found = lookup(df.where(positive_balance()), sections, S.CODE, S.ID)
+    return found.where(F.col("section").isNotNull())
 
 
 def cleaning_funnel(profile: DataFrame) -> DataFrame:
@@ -98,7 +100,7 @@ def with_scope(df: DataFrame, scope: DataFrame) -> DataFrame:
     """Adds ``scope_note``: null for a row in scope, else why it is out of scope."""
     known = scope.select(F.col("natureza").alias(S.CODE), F.col("status").alias("_status"))
     return (
-        df.join(checked_broadcast(known), S.CODE, "left")
+        lookup(df, known, S.CODE, S.ID)
         .withColumn("scope_note", scope_verdict(F.col("_status"), F.col(S.BALANCE)))
         .drop("_status")
     )

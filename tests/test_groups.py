@@ -258,3 +258,22 @@ def test_decoding_undoes_encoding(spark):
     back = sampling.decode_labels(numbers, "code", codes)
     assert {(r[S.ID], r.code) for r in back.collect()} == {
         (r[S.ID], r[S.CODE]) for r in rows.collect()}
+
+
+def test_scope_and_one_hot_do_not_depend_on_the_broadcast(spark, monkeypatch):
+    from ledgerlens.operators import scope
+    rows = skewed(spark, 600).withColumn(S.BALANCE, F.lit(1.0)).withColumn(
+        S.CODE, F.when(F.col(S.ID) == "5", None).otherwise(F.col(S.CODE)))
+    expired = spark.createDataFrame([("c1",)], "nat_despesa string")
+    profile = scope.code_profile(rows, expired, floor=50)
+    vocabulary = encode.fit_vocabulary(rows.where(f"{S.CODE} <> 'c2'"), [S.CODE])
+
+    def results():
+        noted = scope.with_scope(rows, scope.scope_map(profile).where("natureza <> 'c3'"))
+        return [sorted(map(str, df.select(sorted(df.columns)).collect())) for df in (
+            scope.cleaned_rows(rows, profile), noted,
+            encode.one_hot_positions(rows, vocabulary, [S.CODE]))]
+
+    plain = results()
+    monkeypatch.setattr("ledgerlens.operators.lookup.fits_broadcast", lambda *_: False)
+    assert results() == plain and len(plain[1]) == 600
