@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from ledgerlens.functions.names import normalise_columns
 from ledgerlens.functions.stemming import stem
 from ledgerlens.functions.verdict import result_code
 from ledgerlens.operators import encode, filters, merge, report, sampling, scope
-from ledgerlens.plans import standin
+from ledgerlens.plans import jobs, standin
 from ledgerlens.plans.features import (
     TEXT_FEATURES, TextOptions, fit_dense, fit_encoder, prepare,
 )
@@ -604,3 +605,17 @@ def dense_linear(spark, sf_dir):
 def rf_correctness(spark, sf_dir):
     rows = prepare(validated(spark, sf_dir), S.VERDICT_CATEGORIES, [S.ID, S.VERDICT], "tfidf")
     return train_correctness(rows, SMALL).report
+
+
+@query
+def training_job(spark, sf_dir):
+    """One training run, from cleaning to stored models; the reports of its classifiers."""
+    store = StateStore(spark, staging_path(spark, "trained"))
+    expired = staged(standin.expired_codes(spark, sf_dir), "expired")
+    reports = jobs.training_job(
+        commitments(spark, sf_dir), expired, validated(spark, sf_dir), store,
+        algorithm="rf", floor=FLOOR, options=SMALL)
+    return reduce(DataFrame.unionByName, [
+        reports[name].select(F.lit(name).alias("model"), "label",
+                             *[F.col(f"`{metric}`") for metric in report.METRICS])
+        for name in ("above", "below", "correctness") if name in reports])
