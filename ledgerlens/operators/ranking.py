@@ -14,18 +14,23 @@ from ledgerlens.sources.staging import checked_broadcast, staged
 
 KEY, TIE, BUCKET, GROUP = "_key", "_tie", "_bucket", "_group"
 
+# Hexadecimal digits of the first and of the second histogram, and the rows that may be sorted
+# in one task.
+DIGITS, FINE_DIGITS = 2, 4
+SORTABLE = 1_000_000
+
 
 def hash_key(identifier: Column, seed: int) -> Column:
     return F.md5(F.concat(identifier.cast("string"), F.lit(f":{seed}")).cast("binary"))
 
 
-def keyed(rows: DataFrame, identifier: str, group: str | None, seed: int, digits: int) -> DataFrame:
+def keyed(rows: DataFrame, identifier: str, group: str | None, seed: int) -> DataFrame:
     key = hash_key(F.col(identifier), seed)
     return (
         rows.withColumn(GROUP, F.col(group) if group else F.lit(""))
         .withColumn(KEY, key)
         .withColumn(TIE, F.col(identifier).cast("string"))
-        .withColumn(BUCKET, F.substring(KEY, 1, digits))
+        .withColumn(BUCKET, F.substring(KEY, 1, DIGITS))
     )
 
 
@@ -38,26 +43,40 @@ def group_sizes(hist: DataFrame) -> DataFrame:
     return hist.groupBy(GROUP).agg(F.sum("n").alias("n"))
 
 
+def _locate(counts: DataFrame, groups: list[str], bucket: str) -> DataFrame:
+    """Of (groups, bucket, n, rank) keep the bucket that holds the rank, as (..., n, within).
+
+    The window sees one row per bucket of a group, never data rows."""
+    running = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.col("upto") - F.col("n")
+    return (
+        counts.withColumn("upto", F.sum("n").over(running))
+        .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > before))
+        .select(*groups, bucket, "n", (F.col("rank") - before).alias("within"))
+    )
+
+
 def rank_cuts(keyed_rows: DataFrame, hist: DataFrame, targets: DataFrame) -> DataFrame:
     """Key of the row at each wanted rank.
 
     ``targets`` has (group, cut, rank), rank counted from 1; the result has one row per group
-    with an array of (cut, key, tie). A window over the histogram sees at most 16^digits rows
-    per group.
+    with an array of (cut, key, tie). The rows of the buckets that hold a rank, a small part of
+    all rows, are written out; where such a bucket is still large, a second histogram over the
+    next digits narrows it down before anything is sorted.
     """
-    running = Window.partitionBy(GROUP).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, 0)
-    upto = hist.withColumn("upto", F.sum("n").over(running))
-    edges = staged(
-        upto.join(targets, GROUP)
-        .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
-        .select(GROUP, BUCKET, "cut", (F.col("rank") - F.col("upto") + F.col("n")).alias("within")),
-        "edges",
-    )
-    order = Window.partitionBy(GROUP, BUCKET, "cut").orderBy(KEY, TIE)
+    edges = staged(_locate(hist.join(targets, GROUP), [GROUP, "cut"], BUCKET), "edges")
+    rows = keyed_rows.select(GROUP, BUCKET, KEY, TIE).join(
+        checked_broadcast(edges), [GROUP, BUCKET])
+    if (edges.agg(F.max("n").alias("n")).first()["n"] or 0) > SORTABLE:
+        fine = F.substring(KEY, F.length(BUCKET) + 1, F.lit(FINE_DIGITS))
+        rows = staged(rows.drop("n").withColumn("_fine", fine), "boundary")
+        counts = rows.groupBy(GROUP, "cut", "_fine", F.col("within").alias("rank")).agg(
+            F.count("*").alias("n"))
+        narrow = staged(_locate(counts, [GROUP, "cut"], "_fine"), "narrow")
+        rows = rows.drop("within").join(checked_broadcast(narrow), [GROUP, "cut", "_fine"])
+    order = Window.partitionBy(GROUP, "cut").orderBy(KEY, TIE)
     at_rank = (
-        keyed_rows.select(GROUP, BUCKET, KEY, TIE)
-        .join(checked_broadcast(edges), [GROUP, BUCKET])
-        .withColumn("place", F.row_number().over(order))
+        rows.withColumn("place", F.row_number().over(order))
         .where(F.col("place") == F.col("within"))
     )
     return staged(

@@ -15,7 +15,7 @@ SEED = 15
 
 def sample_rows(rows: DataFrame, n: int, identifier: str, seed: int = SEED) -> DataFrame:
     """``n`` rows with the smallest hash of (identifier, seed); all rows if there are fewer."""
-    marked = keyed(rows, identifier, None, seed, digits=3)
+    marked = keyed(rows, identifier, None, seed)
     hist = histogram(marked)
     total = hist.agg(F.sum("n").alias("n")).first()["n"] or 0
     if n >= total:
@@ -57,7 +57,7 @@ def stratified_split(
     Only the histogram, one bucket per class and one cut per class are shuffled; the rows
     themselves are compared with the cut where they lie.
     """
-    marked = keyed(rows, identifier, label, seed, digits=3)
+    marked = keyed(rows, identifier, label, seed)
     hist = histogram(marked.where(F.col(label).isNotNull()))
     targets = (
         quotas(group_sizes(hist), GROUP, percent)
@@ -90,7 +90,7 @@ def stratified_folds(
     rows: DataFrame, label: str, identifier: str, folds: int = 3, seed: int = SEED,
 ) -> DataFrame:
     """Adds ``fold``: consecutive blocks of each class in hash order."""
-    marked = keyed(rows, identifier, label, seed, digits=3)
+    marked = keyed(rows, identifier, label, seed)
     hist = histogram(marked.where(F.col(label).isNotNull()))
     sizes = fold_sizes(group_sizes(hist), GROUP, folds)
     upto = [F.aggregate(F.slice("sizes", 1, i + 1), F.lit(0).cast("long"), lambda a, b: a + b)

@@ -33,8 +33,15 @@ def members(df):
     return {label: sorted(ids, key=order_of) for label, ids in groups.items()}
 
 
+@pytest.fixture(params=["sorted at once", "narrowed first"])
+def narrowing(request, monkeypatch):
+    if request.param == "narrowed first":
+        monkeypatch.setattr("ledgerlens.operators.ranking.SORTABLE", 0)
+        monkeypatch.setattr("ledgerlens.operators.ranking.FINE_DIGITS", 1)
+
+
 @pytest.mark.parametrize("n", [0, 1, 700, 2999, 3000, 5000])
-def test_sample_is_the_smallest_hashes(spark, n):
+def test_sample_is_the_smallest_hashes(spark, narrowing, n):
     rows = skewed(spark)
     found = sorted(r[S.ID] for r in sampling.sample_rows(rows, n, S.ID).collect())
     wanted = sorted(sorted((str(i) for i in range(3000)), key=order_of)[:n])
@@ -42,7 +49,7 @@ def test_sample_is_the_smallest_hashes(spark, n):
 
 
 @pytest.mark.parametrize("percent", [20, 30])
-def test_split_quota_and_members(spark, percent):
+def test_split_quota_and_members(spark, narrowing, percent):
     rows = skewed(spark)
     found = sampling.stratified_split(rows, S.CODE, S.ID, percent)
     groups = members(rows)
@@ -57,7 +64,7 @@ def test_split_quota_and_members(spark, percent):
 
 
 @pytest.mark.parametrize("folds", [2, 3, 5])
-def test_folds(spark, folds):
+def test_folds(spark, narrowing, folds):
     rows = skewed(spark, 1000)
     found = {r[S.ID]: r.fold for r in
              sampling.stratified_folds(rows, S.CODE, S.ID, folds).collect()}
