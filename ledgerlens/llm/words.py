@@ -92,16 +92,32 @@ def find(data: np.ndarray, bounds: np.ndarray, separators: np.ndarray, fold: np.
     after[bounds] = False
     end = np.flatnonzero(inside & ~after[1:]) + 1
     del inside, before, after
-    hashes = np.empty(len(start), np.uint64)
+    first = np.searchsorted(start, bounds)
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(first))
+    return Words(doc, start, end, span_hashes(data, start, end), first, data)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of spans of bytes, none empty, none before the one it follows."""
+    out = np.empty(len(start), np.uint64)
     at = 0
     while at < len(start):
         low = int(start[at])
         to = max(at + 1, int(np.searchsorted(end, low + PIECE, side="right")))
-        hashes[at:to] = _hash(data[low:int(end[to - 1])], start[at:to] - low, end[at:to] - low)
+        out[at:to] = _hash(data[low:int(end[to - 1])], start[at:to] - low, end[at:to] - low)
         at = to
-    first = np.searchsorted(start, bounds)
-    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(first))
-    return Words(doc, start, end, hashes, first, data)
+    return out
+
+
+def stems(found: Words, letters: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of more than `letters` characters, and the hash of each one's first `letters`."""
+    leads = np.flatnonzero((found.data & 0xC0) != 0x80)
+    after = np.searchsorted(leads, found.start) + letters
+    known = after < len(leads)
+    stop = np.where(known, leads[np.minimum(after, max(len(leads) - 1, 0))], 0) if len(
+        leads) else after
+    longer = np.flatnonzero(known & (stop < found.end))
+    return longer, span_hashes(found.data, found.start[longer], stop[longer])
 
 
 def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
