@@ -2,23 +2,23 @@
 
 The five-word grams of a text are labelled with their occurrence. Each of SKETCHES hash functions
 picks the TUPLE labelled grams with the smallest values and lists them in the order of the text;
-texts that share such a list in some sketch meet in a bucket. Unlike plain MinHash, the order makes
+texts that share such lists in two sketches meet in a bucket. Unlike plain MinHash, the order makes
 the lists sensitive to edit similarity. Candidates are verified on their words: two texts are
 linked when their edit distance, by an alignment in a band of that width, is at most
 (1 - `similarity`) of the longer one. Classes are the connected components of the links.
 
 Texts with equal words are one node. In a bucket, members are verified against a leader, not with
-one another. A member that is linked to the leader need not be compared again: by the triangle
-inequality a text farther than FAR from the leader cannot be linked to it. Members that are
-neither linked nor far (and then the linked ones, too) and far members go on to further rounds,
-with more leaders each time, until every bucket is used up; so no candidate link between different
-classes is lost, and a family of n copies costs n comparisons.
+one another. Those that are not linked go on to further rounds, with more leaders each time, until
+every bucket is used up. A member that is linked to the leader goes on, too, if by the triangle
+inequality it may yet be linked to one that is not; else it is done. So no candidate link between
+different classes is lost, and a family of n copies costs n comparisons.
 
 Defined cases: null and empty texts, and texts without words, are equal to one another. A text of
 fewer than five words is one gram. The class is named by its smallest doc_id; a null id counts as
 smallest. Rows equal in id and text have the same class, and both represent it if it is theirs.
 Texts are used whole; other columns are ignored. Which similar pairs meet in a bucket is a matter
-of probability: with the defaults over 0.999 at 0.8 of shared grams, 0.97 at 0.45.
+of probability: with the defaults over 0.9999 at 0.8 of shared grams, 0.998 at 0.66 and 0.86 at
+0.45 (two copies of one text, each with one word in twenty changed).
 """
 
 from __future__ import annotations
@@ -39,10 +39,6 @@ GRAM = 5
 SKETCHES = 16
 TUPLE = 2
 SIMILARITY = 0.8
-#: Texts farther than this share of the longer one from a leader cannot be linked to a text that
-#: is linked to it: linked lengths differ by at most a quarter, so 0.2 * 1.25 + 0.2 * 1.25.
-FAR = 0.5
-FAR_APART, UNLINKED, LINKED = 0, 1, 2
 
 
 def _labelled(grams: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -192,52 +188,58 @@ def _chained(a: np.ndarray, b: np.ndarray, k: int = 3) -> int:
     return int(cost + np.where((da == db) & (da <= k), 0, np.maximum(da, db)).sum())
 
 
-def verdict(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> int:
-    """LINKED, UNLINKED or FAR_APART: bounds first, the banded alignment where they leave doubt."""
+def verdict(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> tuple[bool, float]:
+    """Whether two sequences are linked, and a share of the longer one: their distance is at most
+    that if they are, at least that if not. Bounds first, the banded alignment where they leave
+    doubt."""
     longer, shorter = max(len(a), len(b)), min(len(a), len(b))
     band = int((1 - similarity) * longer + 1e-9)
     if longer - shorter > band:
-        return FAR_APART if longer - shorter > FAR * longer else UNLINKED
+        return False, (longer - shorter) / longer
     same = a[:shorter] == b[:shorter]
     head = shorter if same.all() else int(same.argmin())
     a, b = a[head:], b[head:]
     shorter -= head
     if not shorter:
-        return LINKED
+        return True, max(len(a), len(b)) / max(longer, 1)
     same = a[::-1][:shorter] == b[::-1][:shorter]
     tail = shorter if same.all() else int(same.argmin())
     a, b = a[:len(a) - tail], b[:len(b) - tail]
-    if max(len(a), len(b)) <= band:
-        return LINKED
-    if len(a) == len(b) and (a != b).sum() <= band:
-        return LINKED
+    most = max(len(a), len(b))
+    if len(a) == len(b):
+        most = int((a != b).sum())
+    if most <= band:
+        return True, most / longer
     _, code = np.unique(np.concatenate([a, b]), return_inverse=True)
     top = int(code.max()) + 1
     shared = np.minimum(np.bincount(code[:len(a)], minlength=top),
                         np.bincount(code[len(a):], minlength=top)).sum()
     least = max(len(a), len(b)) - int(shared)
     if least > band:
-        return FAR_APART if least > FAR * longer else UNLINKED
-    if _chained(a, b) <= band:
-        return LINKED
-    return LINKED if banded(a, b, band) <= band else UNLINKED
+        return False, least / longer
+    most = _chained(a, b)
+    if most <= band:
+        return True, most / longer
+    exact = banded(a, b, band)
+    return exact <= band, exact / longer
 
 
 def verified(pairs: DataFrame, similarity: float) -> DataFrame:
-    """(tid, leader, text, other) -> (tid, leader, verdict)."""
+    """(tid, leader, text, other) -> (tid, leader, linked, share)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, bounds in W.slices(batches):
+        for batch, data, bounds in W.slices(batches, limit=1 << 20):
             one = W.find(data, bounds, W.SPACES, W.SAME)
             two = W.find(*W.texts(batch.column(3)), W.SPACES, W.SAME)
             found = [verdict(one.hash[one.first[i]:one.first[i + 1]],
                              two.hash[two.first[i]:two.first[i + 1]], similarity)
                      for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.int32())],
-                names=["tid", "leader", "verdict"])
+                [batch.column(0), batch.column(1), pa.array([bool(f[0]) for f in found]),
+                 pa.array([float(f[1]) for f in found])],
+                names=["tid", "leader", "linked", "share"])
 
     return pairs.select("tid", "leader", "text", "other").mapInArrow(
-        run, "tid binary, leader binary, verdict int")
+        run, "tid binary, leader binary, linked boolean, share double")
 
 
 def _in_company(members: DataFrame) -> DataFrame:
@@ -246,10 +248,21 @@ def _in_company(members: DataFrame) -> DataFrame:
     return members.join(crowded, "key", "left_semi")
 
 
+def buckets(nodes: DataFrame) -> DataFrame:
+    """(key, tid): the texts that share two sketches. Of a text's sketches only those that some
+    other text has are paired, so most texts have none."""
+    shared = staged(_in_company(
+        nodes.select("tid", F.explode(F.array_distinct("keys")).alias("key"))), "shared")
+    own = shared.groupBy("tid").agg(F.sort_array(F.collect_set("key")).alias("keys")).where(
+        F.size("keys") > 1)
+    pairs = F.flatten(F.transform("keys", lambda x, i: F.transform(
+        F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y))))
+    return staged(_in_company(own.select("tid", F.explode(pairs).alias("key"))), "members")
+
+
 def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Verified links (tid, leader) between nodes (tid, doc_id, th, keys)."""
-    members = staged(_in_company(
-        nodes.select("tid", F.explode(F.array_distinct("keys")).alias("key"))), "members")
+    members = buckets(nodes)
     wanted = (nodes.select("tid", "doc_id", "th")
               .join(members.select("tid").distinct(), "tid", "left_semi"))
     bodies = staged(
@@ -257,10 +270,13 @@ def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
             wanted.alias("w"),
             F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.th") == F.col("w.th")))
         .select("tid", "text").dropDuplicates(["tid"]), "bodies")
+    # Lengths of linked texts differ by at most 1 / similarity. So a text at a share u of a leader
+    # can be linked to one at a share s only if s <= (1 - similarity + u) / similarity.
+    reach = ((1 - similarity) + F.col("nearest")) / similarity + 1e-9
     links, judged, leaders_each = [], None, 1
     while not members.isEmpty():
         share = F.pmod(F.xxhash64("tid", F.lit(leaders_each)), F.lit(leaders_each))
-        leaders = members.groupBy("key", share.alias("share")).agg(F.min("tid").alias("leader"))
+        leaders = members.groupBy("key", share.alias("part")).agg(F.min("tid").alias("leader"))
         met = staged(members.join(leaders.select("key", "leader"), "key")
                      .where(F.col("tid") != F.col("leader")), "met")
         pairs = met.select("tid", "leader").distinct()
@@ -269,17 +285,16 @@ def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
         texts = bodies.withColumnRenamed("text", "other").withColumnRenamed("tid", "leader")
         found = staged(verified(
             pairs.join(bodies, "tid").join(texts, "leader"), similarity), "verdicts")
-        links.append(found.where(F.col("verdict") == LINKED).select("tid", "leader"))
+        links.append(found.where("linked").select("tid", "leader"))
         judged = found if judged is None else staged(judged.unionByName(found), "judged")
-        # who goes on
-        seen = met.join(judged, ["tid", "leader"])
+        # who goes on: nearest is null for members that are linked to no leader of the bucket
         state = staged(
-            seen.groupBy("key", "tid").agg(
-                F.max((F.col("verdict") == LINKED).cast("int")).alias("linked"),
-                F.max((F.col("verdict") == UNLINKED).cast("int")).alias("doubt")), "state")
-        doubtful = state.groupBy("key").agg(F.max("doubt").alias("doubtful"))
-        rest = (state.join(doubtful, "key")
-                .where((F.col("linked") == 0) | (F.col("doubtful") == 1)).select("key", "tid"))
+            met.join(judged, ["tid", "leader"]).groupBy("key", "tid").agg(
+                F.max(F.when(F.col("linked"), F.col("share"))).alias("nearest"),
+                F.min(F.when(~F.col("linked"), F.col("share"))).alias("apart")), "state")
+        apart = state.groupBy("key").agg(F.min("apart").alias("least"))
+        rest = (state.join(apart, "key")
+                .where(F.col("nearest").isNull() | (F.col("least") <= reach)).select("key", "tid"))
         # a leader has met every member
         led = leaders.select("key", F.col("leader").alias("tid"))
         members = staged(_in_company(rest.join(led, ["key", "tid"], "left_anti")), "members")

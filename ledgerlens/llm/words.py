@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 6 << 20  # text handled at once; a longer document is a slice of its own
+SLICE_BYTES = 3 << 20  # text handled at once; a longer document is a slice of its own
 PIECE = 1 << 18        # bytes hashed at once
 ODD = np.uint64(0x9E3779B97F4A7C15)
 

@@ -342,10 +342,9 @@ def test_verdict(a, data):
         else:
             b.insert(at, data.draw(st.integers(0, 30)))
     real, longer = brute.distance(a, b), max(len(a), len(b))
-    got = near.verdict(np.array(a, np.uint64), np.array(b, np.uint64))
-    assert (got == near.LINKED) == (real <= int(0.2 * longer + 1e-9))
-    if got == near.FAR_APART:
-        assert real > near.FAR * longer
+    linked, share = near.verdict(np.array(a, np.uint64), np.array(b, np.uint64))
+    assert linked == (real <= int(0.2 * longer + 1e-9))
+    assert real <= share * longer + 1e-9 if linked else real >= share * longer - 1e-9
 
 
 def test_sha_of_nothing():
