@@ -127,20 +127,22 @@ def inverse_frequency(df: Column, documents: int) -> Column:
 
 
 def term_weights(
-    counted: DataFrame, frequencies: DataFrame, documents: int, identifier: str
+    counted: DataFrame, frequencies: DataFrame, documents: int, identifier: str,
+    keep: list[str] = [],
 ) -> DataFrame:
-    """(identifier, term, weight): tf times smoothed idf, scaled to length 1 per text.
+    """(identifier, term, weight): tf times smoothed idf, scaled to length 1 per text; ``keep``
+    names further columns of the frequencies. Terms that were not counted there are left out.
 
     Terms that occur in a large part of the texts are hot join keys; ``lookup`` spreads them.
     The norm is a window over one text's distinct terms.
     """
     idf = frequencies.select(
-        "term", inverse_frequency(F.col("df"), documents).alias("idf"))
+        "term", inverse_frequency(F.col("df"), documents).alias("idf"), *keep)
     weighted = (
         lookup(counted, idf, "term", identifier,
-               weights=frequencies.withColumnRenamed("df", "n"))
+               weights=frequencies.select("term", F.col("df").alias("n")))
         .where(F.col("idf").isNotNull())
         .withColumn("raw", F.col("tf") * F.col("idf"))
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(identifier)))
-    return weighted.select(identifier, "term", (F.col("raw") / norm).alias("weight"))
+    return weighted.select(identifier, "term", *keep, (F.col("raw") / norm).alias("weight"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.sources.staging import BROADCAST_BYTES, fits_broadcast, staged
+from ledgerlens.sources.staging import BROADCAST_BYTES, checked_broadcast, fits_broadcast, staged
 
 HOT_SHARE = 1000
 SALTS = 256
@@ -33,20 +33,21 @@ def lookup(
     if weights is None:
         weights = staged(rows.groupBy(key).agg(F.count("*").alias("n")), "weights")
     total = weights.agg(F.sum("n").alias("n")).first()["n"] or 0
-    hot = (
-        weights.where(F.col("n") > total / HOT_SHARE).select(key)
-        .join(table, key)
-        .select(key, F.struct(*values).alias("_hot"))
-    )
+    # A hot key that the table lacks is hot all the same; its values are null.
+    hot = staged(
+        weights.where((F.col("n") > total / HOT_SHARE) & F.col(key).isNotNull()).select(key)
+        .join(table, key, "left")
+        .select(key, F.lit(True).alias("_is_hot"), F.struct(*values).alias("_hot")), "hot")
     # A hot row, or one without a key, needs no partner from the shuffle: its slot is the key
     # plus a salt, which sends it anywhere. Should such a slot happen to be a key of the table,
     # the value found there is not used.
     salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("string")
     anywhere = F.concat(F.coalesce(F.col(key), F.lit("")), F.lit("\u0001"), salt)
-    slotted = rows.join(F.broadcast(staged(hot, "hot")), key, "left").withColumn(
-        "_slot", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), anywhere)
+    slotted = rows.join(checked_broadcast(hot), key, "left").withColumn(
+        "_slot", F.when(F.col("_is_hot").isNotNull() | F.col(key).isNull(), anywhere)
         .otherwise(F.col(key)))
     cold = table.select(F.col(key).alias("_slot"), F.struct(*values).alias("_cold"))
     joined = slotted.join(cold, "_slot", "left")
-    found = F.when(F.col(key).isNotNull(), F.coalesce("_hot", "_cold"))
+    found = F.when(F.col("_is_hot").isNotNull(), F.col("_hot")).when(
+        F.col(key).isNotNull(), F.col("_cold"))
     return joined.select(*rows.columns, *[found[c].alias(c) for c in values])

@@ -31,7 +31,8 @@ def keyed_merge(rows: DataFrame, order: list[str], as_of: dt.date) -> DataFrame:
     ``rows`` has the identifier, the declared code, ``scope_note`` and, for rows in scope,
     ``predicted`` and ``verdict``. The declared code comes from the last row of an identifier.
     Scored rows overwrite out-of-scope notes. ``order`` names the columns that put the rows of an
-    identifier in order. Maxima of structs are combined before the shuffle, so many copies of
+    identifier in order, the last of them one that differs between rows (an arrival number), so
+    that both maxima are of one row. Maxima of structs are combined before the shuffle, so many copies of
     one identifier cost one row per task.
     """
     scored = F.col("scope_note").isNull()

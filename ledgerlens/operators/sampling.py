@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.ranking import (
-    GROUP, KEY, TIE, at_or_before, group_sizes, histogram, keyed, ordered_index, rank_cuts,
+    GROUP, at_or_before, group_sizes, histogram, keyed, numbered_copies, ordered_index, rank_cuts,
 )
 from ledgerlens.sources.staging import checked_broadcast
 
@@ -14,7 +14,9 @@ SEED = 15
 
 
 def sample_rows(rows: DataFrame, n: int, identifier: str, seed: int = SEED) -> DataFrame:
-    """``n`` rows with the smallest hash of (identifier, seed); all rows if there are fewer."""
+    """``n`` rows with the smallest hash of (identifier, seed); all rows if there are fewer.
+
+    Exactly n, also where the last identifier has more copies than are still wanted."""
     marked = keyed(rows, identifier, None, seed)
     hist = histogram(marked)
     total = hist.agg(F.sum("n").alias("n")).first()["n"] or 0
@@ -23,9 +25,9 @@ def sample_rows(rows: DataFrame, n: int, identifier: str, seed: int = SEED) -> D
     if n <= 0:
         return rows.limit(0)
     targets = group_sizes(hist).select(GROUP, F.lit(0).alias("cut"), F.lit(n).alias("rank"))
-    cut = rank_cuts(marked, hist, targets).first()["cuts"][0]
-    edge = F.struct(F.lit(cut[KEY]).alias(KEY), F.lit(cut[TIE]).alias(TIE))
-    return marked.where(F.struct(KEY, TIE) <= edge).select(*rows.columns)
+    cuts = rank_cuts(marked, hist, targets)
+    numbered = numbered_copies(marked, cuts).join(checked_broadcast(cuts), GROUP)
+    return numbered.where(at_or_before(F.col("cuts")[0])).select(*rows.columns)
 
 
 def quotas(sizes: DataFrame, label: str, percent: int) -> DataFrame:
@@ -33,7 +35,7 @@ def quotas(sizes: DataFrame, label: str, percent: int) -> DataFrame:
 
     ``sizes`` has one row per class, so its window sorts class labels and never data rows.
     """
-    everything = Window.partitionBy(F.lit(0))
+    everything = Window.partitionBy(F.lit(0))  # one row per class: bounded by the labels
     product = F.col("n").cast("decimal(18,0)") * F.col("wanted").cast("decimal(18,0)")
     shares = (
         sizes.withColumn("total", F.sum("n").over(everything))
@@ -52,10 +54,11 @@ def quotas(sizes: DataFrame, label: str, percent: int) -> DataFrame:
 def stratified_split(
     rows: DataFrame, label: str, identifier: str, percent: int, seed: int = SEED,
 ) -> DataFrame:
-    """Adds ``is_test``. Copies of one identifier always stay on the same side.
+    """Adds ``is_test`` to exactly the quota of each class. Copies of one identifier stay on the
+    same side but for the identifier at the cut, of which as many go to the test as are missing.
 
-    Only the histogram, one bucket per class and one cut per class are shuffled; the rows
-    themselves are compared with the cut where they lie.
+    Only the histogram, one bucket per class and the copies at the cuts are shuffled; the other
+    rows are compared with the cut where they lie.
     """
     marked = keyed(rows, identifier, label, seed)
     hist = histogram(marked.where(F.col(label).isNotNull()))
@@ -65,7 +68,7 @@ def stratified_split(
         .select(GROUP, F.lit(0).alias("cut"), F.col("quota").alias("rank"))
     )
     cuts = rank_cuts(marked, hist, targets)
-    joined = marked.join(checked_broadcast(cuts), GROUP, "left")
+    joined = numbered_copies(marked, cuts).join(checked_broadcast(cuts), GROUP, "left")
     is_test = F.coalesce(at_or_before(F.col("cuts")[0]), F.lit(False))
     return joined.select(*rows.columns, is_test.alias("is_test"))
 
@@ -99,7 +102,7 @@ def stratified_folds(
         sizes.select(GROUP, F.posexplode(F.array(*upto)).alias("cut", "rank")).where("rank > 0")
     )
     cuts = rank_cuts(marked, hist, targets)
-    joined = marked.join(checked_broadcast(cuts), GROUP, "left")
+    joined = numbered_copies(marked, cuts).join(checked_broadcast(cuts), GROUP, "left")
     # A cut that is missing (rank 0) lies before every row, like one that was passed.
     reached = F.filter(F.coalesce("cuts", F.array()), at_or_before)
     fold = F.when(F.size(reached) == 0, F.lit(folds - 1)).otherwise(reached[0]["cut"])

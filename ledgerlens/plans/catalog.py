@@ -17,7 +17,7 @@ from ledgerlens.functions.verdict import result_code
 from ledgerlens.operators import encode, filters, merge, report, sampling, scope
 from ledgerlens.plans import jobs, standin
 from ledgerlens.plans.features import (
-    TEXT_FEATURES, TextOptions, fit_dense, fit_encoder, prepare,
+    ROW, TextOptions, fit_encoder, prepare, text_encoder,
 )
 from ledgerlens.plans.jobs import (
     evaluate, infer, train_code_classifier, train_correctness,
@@ -37,7 +37,7 @@ SAMPLE = 1000
 
 # Small models, so that every query ends within a minute or so on one machine: few trees, few
 # iterations, and one penalty for the linear machines (the tests search a grid).
-SMALL_TEXT = TextOptions(vector_size=32, min_word_count=2)
+SMALL_TEXT = TextOptions(vector_size=32)
 SMALL = ModelOptions(
     trees=20, correctness_trees=20, depth=6, svm_grid=(1.0,), svm_iterations=2,
     parallelism=8, linear_grid=(0.0, 0.01), linear_iterations=20, text=SMALL_TEXT)
@@ -457,7 +457,9 @@ def predictions(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
 
 
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given_predictions(validated(spark, sf_dir, S.ID, S.CODE, "order_key", "customer_key"))
+    return staged(
+        given_predictions(validated(spark, sf_dir, S.ID, S.CODE, "order_key", "customer_key")),
+        "judged")
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -473,7 +475,7 @@ def class_report(spark, sf_dir):
 
 @query
 def special_report(spark, sf_dir):
-    rows = predictions(spark, sf_dir)
+    rows = staged(predictions(spark, sf_dir), "predictions")
     held_out = sampling.stratified_split(rows, S.CODE, S.ID, 30).where("is_test")
     return rounded(report.special_report(held_out, S.CODE, "predicted", rows))
 
@@ -513,8 +515,12 @@ def best_candidate(spark, sf_dir):
 
 @query
 def csv_scan(spark, sf_dir):
-    path = sinks.write_csv(commitments(spark, sf_dir), staging_path(spark, "csv"))
-    return scan.read_csv(spark, path).select(S.ID, S.CODE, S.BALANCE, S.PERIOD, S.HISTORY)
+    """Display names in another order, and a column the schema does not have."""
+    rows = commitments(spark, sf_dir).toDF(*S.SOURCE_HEADERS)
+    shuffled = rows.select(F.lit("x").alias("Outra"), *[
+        F.col(f"`{name}`") for name in reversed(S.SOURCE_HEADERS)])
+    path = sinks.write_csv(shuffled, staging_path(spark, "csv"))
+    return scan.read_csv(spark, path)
 
 
 @query
@@ -562,18 +568,34 @@ def section_rows(spark: SparkSession, sf_dir: str, section: str, algorithm_text:
                    [S.ID, S.CODE], algorithm_text)
 
 
+def cell_sums(rows: DataFrame, cells: DataFrame, *by: str) -> DataFrame:
+    """Cells of each row and block: how many, the sum of their values, and of value * position."""
+    sums = cells.groupBy(ROW, *by).agg(
+        F.count("*").alias("n"), F.sum("value").alias("total"),
+        F.sum(F.col("value") * F.col("position")).alias("weighted"))
+    return rounded(rows.select(ROW, S.ID).join(sums, ROW).drop(ROW))
+
+
+def encoded(spark: SparkSession, sf_dir: str, categories: list[str]) -> DataFrame:
+    """What the classifiers' own encoder makes of all commitments."""
+    rows = prepare(commitments(spark, sf_dir), categories, [S.ID], "hashed")
+    return cell_sums(rows, fit_encoder(rows, categories, "hashed").cells(rows), "block")
+
+
+@query
+def encoded_code(spark, sf_dir):
+    return encoded(spark, sf_dir, S.CODE_CATEGORIES)
+
+
 @query
 def anomaly_features(spark, sf_dir):
-    rows = prepare(commitments(spark, sf_dir), S.ANOMALY_CATEGORIES, [S.ID], "tfidf")
-    encoded = fit_encoder(rows, S.ANOMALY_CATEGORIES, "tfidf", SMALL_TEXT).apply(rows)
-    return encoded.select(S.ID, "features")
+    return encoded(spark, sf_dir, S.ANOMALY_CATEGORIES)
 
 
 @query
 def dense_text(spark, sf_dir):
     rows = prepare(commitments(spark, sf_dir), S.CODE_CATEGORIES, [S.ID], "dense")
-    model, = fit_dense(rows, SMALL_TEXT, SMALL.seed)
-    return model.transform(rows).select(S.ID, TEXT_FEATURES)
+    return cell_sums(rows, text_encoder(rows, "dense", TextOptions()).cells(rows))
 
 
 @query

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,7 +17,11 @@ from ledgerlens.operators.scope import (
     POPULATION_FLOOR, cleaned_rows, cleaning_funnel, code_profile, scope_map, with_scope,
 )
 from ledgerlens.plans.features import prepare
-from ledgerlens.plans.models import ALGORITHMS, Classifier, ModelOptions, fit_classifier
+from ledgerlens.plans.models import (
+    ALGORITHMS, Classifier, ModelOptions, fit_classifier, fit_dense_linear,
+)
+from ledgerlens.operators.filters import slice_condition
+from ledgerlens.sources.scan import load_commitments, require_rows
 from ledgerlens.sources.sinks import run_name, write_csv, write_results
 from ledgerlens.sources.staging import staged
 from ledgerlens.sources.state import StateStore
@@ -27,6 +31,9 @@ VERDICT_HOLDOUT = 20
 SECTIONS = ("above", "below")
 SCORING_CATEGORIES = [*S.CODE_CATEGORIES, "grupo_despesa", S.CODE]
 
+#: Commitments, or where to read them: the arguments ``path`` or ``jdbc`` of load_commitments.
+Source = DataFrame | Mapping
+
 # Takes commitments and the names of columns to keep, gives them with ``predicted``, ``verdict``.
 Scorer = Callable[[DataFrame, list[str]], DataFrame]
 
@@ -60,12 +67,28 @@ def train_correctness(
     return Trained(model, pairs, class_report(pairs, S.VERDICT, "predicted"))
 
 
+def read_source(
+    source: Source, store: StateStore, as_of: dt.date | None, training: bool, filters: dict,
+) -> DataFrame:
+    """Input rows of a job. Given rows are filtered as named and else taken whole; a path or a
+    database goes through load_commitments. No rows are an error."""
+    if not isinstance(source, DataFrame):
+        return require_rows(load_commitments(
+            store.spark, training=training, as_of=as_of, **source, **filters))
+    if any(filters.values()):
+        source = source.where(slice_condition(as_of or dt.date.today(), **filters))
+    return require_rows(source)
+
+
 def training_job(
-    commitments: DataFrame, expired: DataFrame, validated: DataFrame, store: StateStore,
+    source: Source, expired: DataFrame, validated: DataFrame, store: StateStore,
     algorithm: str = "dense_rf", floor: int = POPULATION_FLOOR, sample: int | None = None,
-    options: ModelOptions = ModelOptions(),
+    options: ModelOptions = ModelOptions(), as_of: dt.date | None = None, **filters,
 ) -> dict[str, DataFrame]:
-    """Clean, fit both code classifiers and the correctness classifier, store state and reports."""
+    """Read and clean commitments, fit both code classifiers and the correctness classifier, store
+    state and reports. With dense texts, a linear head on the text alone is fitted, reported and
+    stored first, with the history of its candidates."""
+    commitments = read_source(source, store, as_of, True, filters)
     rows = sample_rows(commitments, sample, S.ID, options.seed) if sample else commitments
     profile = code_profile(rows, expired, floor)
     store.save_scope(scope_map(profile))
@@ -77,9 +100,18 @@ def training_job(
         part = prepared.where(F.col("section") == section)
         if part.isEmpty():
             continue
+        if ALGORITHMS[algorithm] == "dense":
+            sides = stratified_split(part, S.CODE, S.ID, CODE_HOLDOUT, options.seed)
+            head, pairs, history = fit_dense_linear(
+                sides.where("not is_test"), sides.where("is_test"), S.CODE, options)
+            head.save(store, f"{section}_text")
+            reports[f"{section}_text"] = special_report(pairs, S.CODE, "predicted", part)
+            reports[f"{section}_text_history"] = history
         trained = train_code_classifier(part, algorithm, options)
         trained.classifier.save(store, section)
         reports[section] = trained.report
+    store.save_table(store.spark.createDataFrame(
+        [(s,) for s in SECTIONS if s in reports], "section string"), "all", "sections")
     judged = prepare(validated, S.VERDICT_CATEGORIES, [S.ID, S.VERDICT], ALGORITHMS["rf"])
     trained = train_correctness(judged, options)
     trained.classifier.save(store, "correctness")
@@ -93,31 +125,30 @@ def training_job(
 class Models:
     """Stored classifiers of a training run."""
 
-    above: Classifier
-    below: Classifier
+    codes: dict[str, Classifier]  # by section; a section without classes has none
     correctness: Classifier
     algorithm: str
 
     @classmethod
-    def load(cls, store: StateStore, algorithm: str,
-             options: ModelOptions = ModelOptions()) -> Models:
-        text = ALGORITHMS[algorithm]
-        above, below = [Classifier.load(store, section, S.CODE_CATEGORIES, text, options.text)
-                        for section in SECTIONS]
-        verdict = Classifier.load(
-            store, "correctness", S.VERDICT_CATEGORIES, ALGORITHMS["rf"], options.text)
-        return cls(above, below, verdict, algorithm)
+    def load(cls, store: StateStore, algorithm: str) -> Models:
+        stored = {r["section"] for r in store.load_table("all", "sections").collect()}
+        codes = {section: Classifier.load(store, section, S.CODE_CATEGORIES)
+                 for section in SECTIONS if section in stored}
+        return cls(codes, Classifier.load(store, "correctness", S.VERDICT_CATEGORIES), algorithm)
 
     def score(self, rows: DataFrame, extra: list[str]) -> DataFrame:
         """``rows`` (commitments) with ``predicted`` code and ``verdict``, and ``extra`` columns."""
         texts = "+".join(sorted({ALGORITHMS[self.algorithm], ALGORITHMS["rf"]}))
-        prepared = prepare(rows, SCORING_CATEGORIES, list(dict.fromkeys([S.ID, *extra])), texts,
-                           stage=False)
-        scored = self.correctness.score(
-            self.below.score(self.above.score(prepared, "above"), "below"), "verdict")
-        predicted = ensemble_pick(
-            F.col("above_label"), F.col("below_label"),
-            F.col("above_probability"), F.col("below_probability"))
+        scored = prepare(rows, SCORING_CATEGORIES, list(dict.fromkeys([S.ID, *extra])), texts)
+        for section, classifier in self.codes.items():
+            scored = classifier.score(scored, section)
+        scored = self.correctness.score(scored, "verdict")
+        if len(self.codes) == 2:
+            predicted = ensemble_pick(
+                F.col("above_label"), F.col("below_label"),
+                F.col("above_probability"), F.col("below_probability"))
+        else:
+            predicted = F.col(f"{next(iter(self.codes))}_label")
         return scored.select(
             S.ID, S.CODE, *[c for c in extra if c not in (S.ID, S.CODE)],
             predicted.alias("predicted"), F.col("verdict_label").alias("verdict"))
@@ -127,14 +158,16 @@ def infer(
     commitments: DataFrame, scope: DataFrame, score: Scorer, as_of: dt.date,
     order: list[str] | None = None,
 ) -> DataFrame:
-    """Result per identifier. Rows out of scope are not scored; their branch reads three columns.
+    """Result per identifier. Rows out of scope are not scored.
 
-    ``order`` names the columns that say which of several rows of one identifier is the last.
+    The last row of an identifier wins, in order of arrival: the position in the scan. ``order``
+    names columns that come before it. The noted rows are written out, so that both branches
+    see one order, and a source is read once.
     """
-    order = order or [S.PERIOD]
     # Under names of their own, since scoring derives other columns from the period.
-    place = {f"_place{at}": F.col(name) for at, name in enumerate(order)}
-    noted = with_scope(commitments, scope).withColumns(place)
+    place = {f"_place{at}": F.col(name) for at, name in enumerate(order or [])}
+    place["_arrival"] = F.monotonically_increasing_id()
+    noted = staged(with_scope(commitments.withColumns(place), scope), "noted")
     kept = [S.ID, S.CODE, *place]
     notes = noted.where(F.col("scope_note").isNotNull()).select(*kept, "scope_note")
     in_scope = noted.where(F.col("scope_note").isNull()).drop("scope_note")
@@ -144,12 +177,12 @@ def infer(
 
 
 def inference_job(
-    commitments: DataFrame, store: StateStore, output: str, as_of: dt.date,
-    algorithm: str = "dense_rf", options: ModelOptions = ModelOptions(),
-    order: list[str] | None = None, **filters,
+    source: Source, store: StateStore, output: str, as_of: dt.date,
+    algorithm: str = "dense_rf", order: list[str] | None = None, **filters,
 ) -> tuple[DataFrame, DataFrame]:
-    """Score commitments, write the results and return them with their distribution."""
-    models = Models.load(store, algorithm, options)
+    """Read and score commitments, write the results and return them with their distribution."""
+    commitments = read_source(source, store, as_of, False, filters)
+    models = Models.load(store, algorithm)
     results = infer(commitments, store.load_scope(), models.score, as_of, order)
     name = run_name(as_of, **filters)
     written = write_results(results, output, name, as_of)
@@ -166,13 +199,13 @@ def evaluate(scored: DataFrame) -> DataFrame:
 
 def evaluation_job(
     validated: DataFrame, store: StateStore, output: str, algorithm: str = "dense_rf",
-    options: ModelOptions = ModelOptions(),
+    seed: int = ModelOptions.seed,
 ) -> dict[str, DataFrame]:
     """Reports over all validated rows, and over the part the correctness model did not see."""
-    models = Models.load(store, algorithm, options)
+    models = Models.load(store, algorithm)
     scored = staged(models.score(validated, [S.VERDICT]), "scored")
     held_out = stratified_split(
-        scored, S.VERDICT, S.ID, VERDICT_HOLDOUT, options.seed).where("is_test")
+        scored, S.VERDICT, S.ID, VERDICT_HOLDOUT, seed).where("is_test")
     reports = {
         "all": evaluate(scored),
         "holdout": evaluate(held_out),

@@ -381,6 +381,68 @@ ORACLES["tfidf_long"] = f"with {TOKENS}, {tfidf('word', 'tokens')}"
 ORACLES["tfidf_stemmed"] = (
     f"with {TOKENS}, {stems('tokens')}, {tfidf('stem', '(tokens join stems using (word))')}")
 
+# --- encoded rows: sums over the cells of each block ---------------------------------------
+
+ALL_WORDS = f"""all_words as (select doc_id, word from (select doc_id,
+  unnest(string_split(clean, ' ')) as word from (select doc_id, {CLEAN} as clean from documents))
+  where word <> '')"""
+
+
+def projected(term: str, source: str, width: int, shortest: int) -> str:
+    """CTEs to ``text_cells`` (doc_id, position, value): weighted terms, where a document counts
+    as often as commitments have it, with sign and position by the digits of their md5."""
+    return f"""uses as (select doc_id, count(*) as uses from commitments group by 1),
+tf as (select doc_id, {term} as term, count(*) as tf from {source}
+  where length({term}) >= {shortest} group by 1, 2),
+idf as (select term, ln((1.0 + (select count(*) from commitments)) / (1.0 + sum(uses))) + 1.0 as idf
+  from tf join uses using (doc_id) group by 1),
+raw as (select doc_id, term, tf * idf as raw from tf join idf using (term)),
+unit as (select doc_id, md5(term) as digest, raw / sqrt(sum(raw * raw) over (partition by doc_id))
+  as weight from raw),
+text_cells as (select doc_id, ('0x' || substr(digest, 1, 8))::bigint % {width} as position,
+  sum(case when ('0x' || substr(digest, 9, 1))::int % 2 = 0 then weight else -weight end) as value
+  from unit group by 1, 2)"""
+
+
+SUMS = ("count(*) as n, round(sum(value), 6) as total, "
+        "round(sum(value * position), 6) as weighted")
+ORACLES["dense_text"] = base(
+    S.ID, "doc_id", extra=f"{ALL_WORDS}, {projected('word', 'all_words', 100, 1)}",
+) + f"select {S.ID}, {SUMS} from commitments join text_cells using (doc_id) group by 1"
+
+
+def encoded(categories: list[str], more: tuple[str, ...] = ()) -> str:
+    columns = derived_categories(categories)
+    cells = " union all ".join(
+        f"select {S.ID}, '{c}' as \"column\", cast({CELL.get(c, c)} as varchar) as value "
+        "from commitments" for c in columns)
+    order = ", ".join(f"('{c}', {i})" for i, c in enumerate(columns))
+    amounts = [*S.AMOUNTS, "process_count"]
+    scaled = " union all ".join(
+        f"select {S.ID}, {i} as position, case when h = l then {c} - l else ({c} - l) / (h - l) end "
+        f"as value from counted, (select min({c}) as l, max({c}) as h from counted)"
+        for i, c in enumerate(amounts))
+    return base(
+        *dict.fromkeys((*CELL_SOURCE, *more, S.PROCESS, "doc_id", *S.AMOUNTS)),
+        extra=f"""cells as ({cells}), vocab as ({VOCABULARY.format(where="")}),
+offsets as (select "column", sum(n) over (order by place) - n as start from
+  (select "column", count(*) as n from vocab group by 1)
+  join (values {order}) o("column", place) using ("column")),
+counted as (select *, cast(count(*) over (partition by {S.PROCESS}) as double) as process_count
+  from commitments),
+scaled as ({scaled}), {TOKENS}, {stems('tokens')},
+{projected('stem', '(tokens join stems using (word))', 1024, 2)}""",
+    ) + f"""select {S.ID}, 'amount' as block, {SUMS} from scaled where value <> 0 group by 1
+union all select {S.ID}, 'category', {SUMS} from (select {S.ID}, 1.0::double as value,
+  start + "index" as position from cells join vocab using ("column", value)
+  join offsets using ("column")) group by 1
+union all select {S.ID}, 'text', {SUMS} from commitments join text_cells using (doc_id) group by 1"""
+
+
+ORACLES["encoded_code"] = encoded(S.CODE_CATEGORIES)
+ORACLES["anomaly_features"] = encoded(S.ANOMALY_CATEGORIES, (
+    "grupo_despesa", "elemento_despesa", S.CODE, "natureza_despesa_nome", "formalidade_nome"))
+
 # --- reports -------------------------------------------------------------------------------
 
 METRICS = '"precision", recall, "f1-score", support'
@@ -449,7 +511,6 @@ select {S.ORGAN}, candidate, accuracy from (select *, row_number() over (partiti
 
 # --- sources and sinks ---------------------------------------------------------------------
 
-ORACLES["csv_scan"] = base(*CODED, S.PERIOD, S.HISTORY) + (
-    f"select {names([*CODED, S.PERIOD, S.HISTORY])} from commitments")
+ORACLES["csv_scan"] = ORACLES["regularized_projection"]
 ORACLES["json_sink"] = base(*CODED) + "select * from commitments"
 ORACLES["side_table_scan"] = base(S.CODE) + standin.EXPIRED_SQL

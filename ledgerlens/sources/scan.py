@@ -13,24 +13,41 @@ from ledgerlens import schema as S
 from ledgerlens.functions.names import normalise_columns, normalise_name
 from ledgerlens.operators.filters import FIRST_YEAR, from_year, slice_condition
 
-# Fixed value: the name of the source table.
-SOURCE_TABLE = "IE.EXTRACAO.EOFClassificacao"
-
-
 class EmptyInput(RuntimeError):
     """No commitment matches the filters of a run."""
 
 
+class MissingColumns(ValueError):
+    """A file's header lacks columns of the schema."""
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """CSV on local, HDFS or object storage. The schema is given, never inferred.
+    """CSV on local, HDFS or object storage: the columns of the schema, found by their names.
 
-    Quoted line breaks keep a file in one piece, so large tables are better kept as many files
-    or as parquet.
+    Names in the header are normalised first, so display names work; their order is the file's,
+    and further columns are ignored. Types are those of the schema, never inferred. Without a
+    header, columns are taken by position. A file with quoted line breaks (``multi_line``) is one
+    task, so large tables are better kept as many files, without line breaks, or as parquet.
     """
-    return spark.read.schema(schema or S.commitment_schema()).csv(
-        path, header=header, encoding="UTF-8", multiLine=True, escape='"', enforceSchema=True)
+    schema = schema or S.commitment_schema()
+    options = {"header": header, "encoding": "UTF-8", "multiLine": multi_line, "escape": '"'}
+    if not header:
+        return spark.read.schema(schema).csv(path, enforceSchema=True, **options)
+    # all strings: only the header line is looked at
+    found = [normalise_name(name) for name in spark.read.csv(path, **options).columns]
+    missing = [f.name for f in schema.fields if f.name not in found]
+    if missing:
+        raise MissingColumns(f"no column {', '.join(missing)} in {path}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    first = {name: found.index(name) for name in kinds}
+    places = T.StructType([
+        T.StructField(f"_c{i}", kinds[name] if first.get(name) == i else T.StringType())
+        for i, name in enumerate(found)])
+    rows = spark.read.schema(places).csv(path, enforceSchema=True, **options)
+    return rows.select(*[F.col(f"_c{first[name]}").alias(name) for name in kinds])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -44,12 +61,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def jdbc_options(
     url: str,
+    table: str,
     user: str | None = None,
     password: str | None = None,
     driver: str | None = None,
     years: tuple[int, int] | None = None,
     partitions: int = 64,
-    table: str = SOURCE_TABLE,
 ) -> dict[str, str]:
     """Reader options; with ``years`` the scan is read in parallel ranges of the budget year."""
     options = {"url": url, "dbtable": table, "fetchsize": "10000", "pushDownPredicate": "true"}

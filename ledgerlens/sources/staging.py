@@ -6,7 +6,6 @@ however often the plan above it reads it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +16,15 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def checkpoint_root(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Only local sessions may do without: they get one below
+    the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-"))
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    spark.sparkContext.setCheckpointDir(f"{warehouse}/staging")
     return spark.sparkContext.getCheckpointDir()
 
 
@@ -31,6 +33,14 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/ledgerlens/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what this application has staged. Tables that still read it are lost, so call it
+    when a job's results are written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{checkpoint_root(spark)}/ledgerlens/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, label)

@@ -86,6 +86,32 @@ def test_folds_of_tiny_classes(spark):
     assert len(found) == 5 and sorted(Counter(r.fold for r in found).values()) == [1, 2, 2]
 
 
+def test_repeated_and_null_identifiers(spark, narrowing):
+    """Exact totals though one identifier has many copies, or none is known."""
+    identifier = F.when(F.col("id") % 100 < 97, (F.col("id") % 100).cast("string"))
+    rows = staged(spark.range(3000).select(
+        identifier.alias(S.ID), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias(S.CODE),
+        "id").repartition(3), "repeated")
+    sample = sampling.sample_rows(rows, 100, S.ID)
+    assert sample.count() == 100 == sample.select("id").distinct().count()
+    split = sampling.stratified_split(rows, S.CODE, S.ID, 30).where("is_test")
+    assert {r[S.CODE]: r["count"] for r in split.groupBy(S.CODE).count().collect()} == {
+        "a": 300, "b": 600}
+    folds = sampling.stratified_folds(rows, S.CODE, S.ID, 7)
+    sizes = [r["count"] for r in folds.groupBy("fold").count().collect()]
+    assert sum(sizes) == 3000 == folds.select("id").distinct().count() and max(sizes) - min(sizes) <= 1
+    # whole identifiers but for the ones at the cuts
+    sides = split.groupBy(S.CODE, S.ID).count().collect()
+    sizes = {(r[S.CODE], r[S.ID]): r["count"] for r in rows.groupBy(S.CODE, S.ID).count().collect()}
+    assert sum(r["count"] < sizes[r[S.CODE], r[S.ID]] for r in sides) <= 2
+
+
+def test_one_identifier_for_all_rows(spark):
+    rows = staged(spark.range(500).select(F.lit(None).cast("string").alias(S.ID), "id")
+                  .repartition(4), "nameless")
+    assert sampling.sample_rows(rows, 20, S.ID).select("id").distinct().count() == 20
+
+
 def test_label_codes(spark):
     rows = spark.createDataFrame([("1", "b"), ("2", "a"), ("3", "b"), ("4", None)],
                                  f"{S.ID} string, {S.CODE} string")
@@ -107,10 +133,13 @@ def test_lookup_gives_the_same_rows_broadcast_or_spread(spark):
     assert spread.count() == rows.count()
 
 
-def test_spread_lookup_splits_the_hot_key(spark):
-    """The rows of a key that owns a third of the table end up in many shuffle partitions."""
+@pytest.mark.parametrize("known", [True, False])
+def test_spread_lookup_splits_the_hot_key(spark, known):
+    """The rows of a key that owns a third of the rows end up in many shuffle partitions, also if
+    the table lacks the key."""
     rows = skewed(spark, 30000)
-    table = staged(rows.groupBy(S.CODE).agg(F.count("*").alias("n")), "table")
+    table = staged(rows.where(F.lit(known) | (F.col(S.CODE) != "hot"))
+                   .groupBy(S.CODE).agg(F.count("*").alias("n")), "table")
     saved = {k: spark.conf.get(k) for k in (
         "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled",
         "spark.sql.autoBroadcastJoinThreshold")}

@@ -11,8 +11,10 @@ from ledgerlens.operators.encode import document_frequencies, term_weights, text
 from ledgerlens.operators.sampling import stratified_folds
 from ledgerlens.plans import catalog, jobs, models, standin
 from ledgerlens.plans.features import (
-    FEATURES, TERMS, TEXT_FEATURES, TextOptions, fit_encoder, fit_tfidf, prepare,
+    FEATURES, ROW, TERMS, TEXT_FEATURES, TextEncoder, TextOptions, fit_encoder, prepare, projected,
+    vectors,
 )
+from ledgerlens.sources.scan import EmptyInput
 from ledgerlens.sources.staging import staged
 from ledgerlens.sources.state import StateStore
 
@@ -20,7 +22,7 @@ AS_OF = dt.date(2001, 1, 1)
 TINY = models.ModelOptions(
     trees=8, correctness_trees=8, depth=5, svm_grid=(1.0, 10.0), svm_iterations=5,
     parallelism=4, linear_grid=(0.0, 0.1), linear_iterations=5,
-    text=TextOptions(vector_size=8, min_word_count=2))
+    text=TextOptions(projection=256, vector_size=16))
 
 
 @pytest.fixture(scope="module")
@@ -55,7 +57,7 @@ def test_training_reports(trained, tables, spark):
 def test_inference_job(trained, tables, spark, tmp_path):
     store, _ = trained
     results, distribution = jobs.inference_job(
-        tables[0], store, str(tmp_path), AS_OF, algorithm="rf", options=TINY)
+        tables[0], store, str(tmp_path), AS_OF, algorithm="rf")
     rows = {r["Identificador"]: r for r in results.collect()}
     assert len(rows) == results.count() == tables[0].count()
     assert sum(r.n for r in distribution.collect()) == len(rows)
@@ -67,7 +69,7 @@ def test_inference_job(trained, tables, spark, tmp_path):
 
 def test_evaluation_job(trained, tables, tmp_path):
     store, _ = trained
-    reports = jobs.evaluation_job(tables[2], store, str(tmp_path), algorithm="rf", options=TINY)
+    reports = jobs.evaluation_job(tables[2], store, str(tmp_path), algorithm="rf")
     averages = reports["all"].where("label = 'macro avg'").collect()
     assert {r.analise for r in averages} == set(S.VERDICTS)
     assert sum(r.support for r in averages) == tables[2].count()
@@ -77,7 +79,7 @@ def test_evaluation_job(trained, tables, tmp_path):
 
 def test_reloaded_models_score_equally(trained, tables):
     store, _ = trained
-    one, two = [models.Classifier.load(store, "above", S.CODE_CATEGORIES, "hashed") for _ in "ab"]
+    one, two = [models.Classifier.load(store, "above", S.CODE_CATEGORIES) for _ in "ab"]
     rows = prepare(tables[0].limit(50), S.CODE_CATEGORIES, [S.ID, S.CODE], "tfidf")
     first, second = [m.score(rows, "m").orderBy(S.ID).collect() for m in (one, two)]
     assert first == second and len(first) == 50
@@ -96,34 +98,61 @@ def test_unseen_category_and_process_give_zeros(spark, tables):
 
 
 def test_text_vectors_equal_the_term_table(spark, sf_dir):
-    """The ML pipeline and the SQL form give the same weights."""
+    """Exact positions and projected ones are sums of the same weights, in vectors as in cells."""
     rows = staged(catalog.documents(spark, sf_dir).limit(40).select(
-        F.col("doc_id").cast("string").alias("id"),
+        F.col("doc_id").alias(ROW),
         F.split(F.lower("text"), "[^a-z]+").alias(TERMS)), "bags")
-    stages = fit_tfidf(rows, 1 << 18)
-    words = stages[0].vocabulary
-    scored = rows
-    for stage in stages:
-        scored = stage.transform(scored)
+    counted = staged(text_terms(rows, ROW, F.col(TERMS)), "counted")
+    table = staged(term_weights(
+        counted, document_frequencies(counted), rows.count(), ROW), "weights")
+    exact = TextEncoder.fit(rows, TERMS, None)
+    words = {r["index"]: r.term for r in exact.frequencies.collect()}
     found = {}
-    for row in scored.select("id", TEXT_FEATURES).collect():
+    for row in vectors(rows, exact.cells(rows), exact.size, TEXT_FEATURES).collect():
         vector = row[TEXT_FEATURES]
+        assert vector.size == len(words)
         for at, weight in zip(vector.indices, vector.values):
-            found[row.id, words[at]] = round(float(weight), 9)
-    counted = staged(text_terms(rows, "id", F.col(TERMS)), "counted")
-    table = term_weights(counted, document_frequencies(counted), rows.count(), "id")
-    assert {(r.id, r.term): round(r.weight, 9) for r in table.collect()} == found
-
-
-def test_hashed_terms_beyond_the_vocabulary_bound(spark):
-    rows = spark.createDataFrame([("1", ["a", "b"]), ("2", ["c"])], f"id string, {TERMS} array<string>")
-    stages = fit_tfidf(rows, 2)
-    scored = rows
-    for stage in stages:
-        scored = stage.transform(scored)
-    vectors = [r[TEXT_FEATURES] for r in scored.collect()]
-    assert [v.size for v in vectors] == [2, 2]
-    assert all(abs(sum(x * x for x in v.values) - 1) < 1e-9 for v in vectors)
+            found[row[ROW], words[at]] = round(float(weight), 9)
+    assert {(r[ROW], r.term): round(r.weight, 9) for r in table.collect()} == found
+
+    position, sign = projected(F.col("term"), 16)
+    wanted = {(r[ROW], r.position): round(r.value, 9) for r in table.groupBy(
+        ROW, position.alias("position")).agg(F.sum(sign * F.col("weight")).alias("value")).collect()}
+    short = TextEncoder.fit(rows, TERMS, 16)
+    got = {(r[ROW], int(at)): round(float(x), 9) for r in vectors(
+        rows, short.cells(rows), 16, TEXT_FEATURES).collect()
+        for at, x in zip(r[TEXT_FEATURES].indices, r[TEXT_FEATURES].values)}
+    assert got == wanted and {at for _, at in got} <= set(range(16))
+
+
+def test_jobs_filter_and_refuse_empty_input(trained, tables, tmp_path):
+    store, _ = trained
+    days = {"daterange": (dt.date(1999, 1, 1), dt.date(1999, 3, 31))}
+    results, _ = jobs.inference_job(
+        tables[0], store, str(tmp_path / "a"), AS_OF, algorithm="rf", **days)
+    wanted = tables[0].where("periodo between '1999/01/01' and '1999/03/31'")
+    assert results.count() == wanted.count() > 0
+    path = str(tmp_path / "input")
+    wanted.write.parquet(path)
+    stored, _ = jobs.inference_job(
+        {"path": path}, store, str(tmp_path / "b"), AS_OF, algorithm="rf")
+    assert stored.count() == wanted.count()
+    with pytest.raises(EmptyInput):
+        jobs.inference_job(tables[0], store, str(tmp_path / "c"), AS_OF, algorithm="rf",
+                           dates=[dt.date(2050, 1, 1)])
+
+
+def test_the_last_row_of_an_identifier_wins(spark):
+    schema = f"{S.ID} string, {S.CODE} string, {S.BALANCE} double, predicted string, verdict string"
+    rows = [("1", "A", 1.0, "A", "OK"), ("1", "B", 1.0, "A", "INCORRETO")]
+    scope = spark.createDataFrame([("A", "Em escopo"), ("B", "Em escopo")],
+                                  "natureza string, status string")
+    for order in (rows, rows[::-1]):
+        source = spark.createDataFrame(order, schema).coalesce(1)
+        found = jobs.infer(source, scope, lambda df, kept: df, AS_OF).collect()
+        _, code, _, predicted, verdict = order[-1]
+        assert [(r["Natureza Real"], r["Natureza Predita"], r["Corretude"]) for r in found] == [
+            (code, predicted, verdict)]
 
 
 @pytest.fixture(scope="module")

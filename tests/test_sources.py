@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
 from ledgerlens.operators import filters
@@ -34,6 +35,18 @@ def test_csv_keeps_quotes_and_line_breaks(spark, tmp_path):
     assert (back[S.ID], back[S.HISTORY], back[S.BALANCE], back[S.YEAR]) == ("1", text, 1.5, 2020)
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    rows = commitment(spark, **{S.ORGAN: "o", S.CODE: "3.1.90.30.01", S.YEAR: 2020, S.ID: "7"})
+    shown = rows.toDF(*S.SOURCE_HEADERS).select(
+        "`Natureza Despesa (Cod)`", *[f"`{h}`" for h in reversed(S.SOURCE_HEADERS)
+                                      if h != "Natureza Despesa (Cod)"])
+    shown = shown.withColumn("Nova", F.lit("x"))
+    back = scan.read_csv(spark, sinks.write_csv(shown, str(tmp_path / "a.csv")))
+    assert back.columns == rows.columns and back.collect() == rows.collect()
+    with pytest.raises(scan.MissingColumns):
+        scan.read_csv(spark, sinks.write_csv(rows.drop(S.ORGAN), str(tmp_path / "b.csv")))
+
+
 def test_parquet_input_gets_normalised_names(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.createDataFrame([("x", "1")], "`Órgão (Código/Nome)` string, `Valor Empenhado` string"
@@ -55,11 +68,11 @@ def test_empty_input_is_an_error(spark):
 
 
 def test_jdbc_options_split_the_scan_by_year():
-    options = scan.jdbc_options("jdbc:x", user="u", years=(2015, 2024), partitions=10)
+    options = scan.jdbc_options("jdbc:x", "spending", user="u", years=(2015, 2024), partitions=10)
     assert options["partitionColumn"] == '"Exercício do orçamento (Ano)"'
     assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
         "2015", "2025", "10")
-    assert "password" not in options and options["dbtable"] == scan.SOURCE_TABLE
+    assert "password" not in options and options["dbtable"] == "spending"
 
 
 @pytest.mark.parametrize("training, filters_given, kept", [
