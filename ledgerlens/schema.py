@@ -68,14 +68,43 @@ VERDICT = "analise"
 
 VERDICTS = ["OK", "INCONCLUSIVO", "INCORRETO"]
 
-# Categorical columns every classifier shares, before the derived flags replace some of them.
-SHARED_CATEGORIES = [
-    ORGAN, SUCCESSOR, "tipo_administracao_nome", "tipo_poder_nome", "funcao", "subfuncao",
-    "programa", "acao", "modalidade_licitacao_nome", "fonte_recurso_nome",
-    CNPJ, CPF, CPF_CNPJ, PERIOD,
+# The categorical columns of each classifier, in source order, before the derived
+# flags replace some of them. The order is that of the stacked features.
+CODE_CATEGORIES = [
+    "orgao",
+    "orgao_sucessor_atual",
+    "tipo_administracao_nome",
+    "tipo_poder_nome",
+    "funcao",
+    "subfuncao",
+    "programa",
+    "acao",
+    "modalidade_licitacao_nome",
+    "fonte_recurso_nome",
+    "beneficiario_cnpj",
+    "beneficiario_cpf",
+    "beneficiario_cpf/cnpj",
+    "periodo",
+    "empenho_numero_do_processo",
+]
+VERDICT_CATEGORIES = [
+    "orgao",
+    "orgao_sucessor_atual",
+    "tipo_administracao_nome",
+    "tipo_poder_nome",
+    "funcao",
+    "subfuncao",
+    "programa",
+    "acao",
+    "grupo_despesa",
+    "natureza_despesa_cod",
+    "modalidade_licitacao_nome",
+    "fonte_recurso_nome",
+    "beneficiario_cnpj",
+    "beneficiario_cpf",
+    "beneficiario_cpf/cnpj",
+    "periodo",
 ]
-CODE_CATEGORIES = [*SHARED_CATEGORIES, PROCESS]
-VERDICT_CATEGORIES = [*SHARED_CATEGORIES, "grupo_despesa", CODE]
 ANOMALY_CATEGORIES = [
     *CODE_CATEGORIES, "grupo_despesa", "elemento_despesa", CODE,
     "natureza_despesa_nome", "formalidade_nome",
