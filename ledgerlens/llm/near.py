@@ -2,22 +2,22 @@
 
 The five-word grams of a text are labelled with their occurrence. Each of SKETCHES hash functions
 picks the TUPLE labelled grams with the smallest values and lists them in the order of the text;
-texts that share such lists in two sketches meet in a bucket. Unlike plain MinHash, the order makes
+texts that share such a list in some sketch meet in a bucket. Unlike plain MinHash, the order makes
 the lists sensitive to edit similarity. Candidates are verified on their words: two texts are
 linked when their edit distance, by an alignment in a band of that width, is at most
 (1 - `similarity`) of the longer one. Classes are the connected components of the links.
 
 Texts with equal words are one node. In a bucket, members are verified against a leader, not with
-one another. Those that are not linked go on to further rounds, with more leaders each time, until
-every bucket is used up. A member that is linked to the leader goes on, too, if by the triangle
-inequality it may yet be linked to one that is not; else it is done. So no candidate link between
-different classes is lost, and a family of n copies costs n comparisons.
+one another. Those that are not linked stay open: further rounds take their leaders from them, more
+each time, until none is open. A member that is linked to the leader meets the later leaders of its
+bucket only if by the triangle inequality it may yet be linked to an open one; else it is done. So
+no candidate link between different classes is lost, and a family of n copies costs n comparisons.
 
 Defined cases: null and empty texts, and texts without words, are equal to one another. A text of
 fewer than five words is one gram. The class is named by its smallest doc_id; a null id counts as
 smallest. Rows equal in id and text have the same class, and both represent it if it is theirs.
 Texts are used whole; other columns are ignored. Which similar pairs meet in a bucket is a matter
-of probability: with the defaults over 0.9999 at 0.8 of shared grams, 0.998 at 0.66 and 0.86 at
+of probability: with the defaults over 0.9999 at 0.8 of shared grams, 0.998 at 0.66 and 0.85 at
 0.45 (two copies of one text, each with one word in twenty changed).
 """
 
@@ -36,8 +36,8 @@ from ledgerlens.llm.tables import text_rows
 from ledgerlens.sources.staging import staged
 
 GRAM = 5
-SKETCHES = 16
-TUPLE = 2
+SKETCHES = 20
+TUPLE = 3
 SIMILARITY = 0.8
 
 
@@ -248,21 +248,11 @@ def _in_company(members: DataFrame) -> DataFrame:
     return members.join(crowded, "key", "left_semi")
 
 
-def buckets(nodes: DataFrame) -> DataFrame:
-    """(key, tid): the texts that share two sketches. Of a text's sketches only those that some
-    other text has are paired, so most texts have none."""
-    shared = staged(_in_company(
-        nodes.select("tid", F.explode(F.array_distinct("keys")).alias("key"))), "shared")
-    own = shared.groupBy("tid").agg(F.sort_array(F.collect_set("key")).alias("keys")).where(
-        F.size("keys") > 1)
-    pairs = F.flatten(F.transform("keys", lambda x, i: F.transform(
-        F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y))))
-    return staged(_in_company(own.select("tid", F.explode(pairs).alias("key"))), "members")
-
-
 def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Verified links (tid, leader) between nodes (tid, doc_id, th, keys)."""
-    members = buckets(nodes)
+    members = staged(_in_company(
+        nodes.select("tid", F.explode(F.array_distinct("keys")).alias("key"),
+                     F.lit(True).alias("open"))), "members")
     wanted = (nodes.select("tid", "doc_id", "th")
               .join(members.select("tid").distinct(), "tid", "left_semi"))
     bodies = staged(
@@ -276,9 +266,9 @@ def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
     links, judged, leaders_each = [], None, 1
     while not members.isEmpty():
         share = F.pmod(F.xxhash64("tid", F.lit(leaders_each)), F.lit(leaders_each))
-        leaders = members.groupBy("key", share.alias("part")).agg(F.min("tid").alias("leader"))
-        met = staged(members.join(leaders.select("key", "leader"), "key")
-                     .where(F.col("tid") != F.col("leader")), "met")
+        leaders = (members.where("open").groupBy("key", share.alias("part"))
+                   .agg(F.min("tid").alias("leader")).select("key", "leader"))
+        met = staged(members.join(leaders, "key").where(F.col("tid") != F.col("leader")), "met")
         pairs = met.select("tid", "leader").distinct()
         if judged is not None:
             pairs = pairs.join(judged, ["tid", "leader"], "left_anti")
@@ -287,17 +277,20 @@ def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
             pairs.join(bodies, "tid").join(texts, "leader"), similarity), "verdicts")
         links.append(found.where("linked").select("tid", "leader"))
         judged = found if judged is None else staged(judged.unionByName(found), "judged")
-        # who goes on: nearest is null for members that are linked to no leader of the bucket
+        # nearest is null for members that are linked to no leader of the bucket: they stay open
         state = staged(
-            met.join(judged, ["tid", "leader"]).groupBy("key", "tid").agg(
+            met.join(judged, ["tid", "leader"]).groupBy("key", "tid", "open").agg(
                 F.max(F.when(F.col("linked"), F.col("share"))).alias("nearest"),
-                F.min(F.when(~F.col("linked"), F.col("share"))).alias("apart")), "state")
-        apart = state.groupBy("key").agg(F.min("apart").alias("least"))
-        rest = (state.join(apart, "key")
-                .where(F.col("nearest").isNull() | (F.col("least") <= reach)).select("key", "tid"))
-        # a leader has met every member
-        led = leaders.select("key", F.col("leader").alias("tid"))
-        members = staged(_in_company(rest.join(led, ["key", "tid"], "left_anti")), "members")
+                F.min(F.when(~F.col("linked"), F.col("share"))).alias("apart"))
+            # a leader has met every member
+            .join(leaders.withColumnRenamed("leader", "tid"), ["key", "tid"], "left_anti")
+            .withColumn("open", F.col("open") & F.col("nearest").isNull()), "state")
+        apart = (state.where("open").groupBy("key")
+                 .agg(F.min("apart").alias("least")))  # buckets without open members are done
+        members = staged(_in_company(
+            state.join(apart, "key")
+            .where(F.col("open") | F.col("nearest").isNull() | (F.col("least") <= reach))
+            .select("key", "tid", "open")), "members")
         leaders_each *= 4
     if not links:
         return nodes.select("tid", F.col("tid").alias("leader")).where(F.lit(False))
