@@ -8,10 +8,12 @@ linked when their edit distance, by an alignment in a band of that width, is at
 (1 - `similarity`) of the longer one. Classes are the connected components of the links.
 
 Texts with equal words are one node. In a bucket, members are verified against a leader, not with
-one another. Those that are not linked stay open: further rounds take their leaders from them, more
-each time, until none is open. A member that is linked to the leader meets the later leaders of its
-bucket only if by the triangle inequality it may yet be linked to an open one; else it is done. So
-no candidate link between different classes is lost, and a family of n copies costs n comparisons.
+one another. Further rounds take more leaders each time, from all members that are left, and compare
+them with the members of other components only: pairs that earlier links have put into one component
+need no verdict. A member leaves a bucket when it has been a leader, or when it is linked to one and
+by the triangle inequality can be linked to no member of another component; a bucket is done when
+its members lie in one component. Buckets are split by length where linked texts cannot be. So no candidate link between different classes is lost, and a
+family of n copies costs n comparisons.
 
 Defined cases: null and empty texts, and texts without words, are equal to one another. A text of
 fewer than five words is one gram. The class is named by its smallest doc_id; a null id counts as
@@ -23,6 +25,7 @@ of probability: with the defaults over 0.9999 at 0.8 of shared grams, 0.998 at 0
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -194,14 +197,13 @@ def verdict(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> tup
     doubt."""
     longer, shorter = max(len(a), len(b)), min(len(a), len(b))
     band = int((1 - similarity) * longer + 1e-9)
-    if longer - shorter > band:
-        return False, (longer - shorter) / longer
+    gap = longer - shorter
     same = a[:shorter] == b[:shorter]
     head = shorter if same.all() else int(same.argmin())
     a, b = a[head:], b[head:]
     shorter -= head
     if not shorter:
-        return True, max(len(a), len(b)) / max(longer, 1)
+        return gap <= band, gap / max(longer, 1)
     same = a[::-1][:shorter] == b[::-1][:shorter]
     tail = shorter if same.all() else int(same.argmin())
     a, b = a[:len(a) - tail], b[:len(b) - tail]
@@ -249,10 +251,15 @@ def _in_company(members: DataFrame) -> DataFrame:
 
 
 def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified links (tid, leader) between nodes (tid, doc_id, th, keys)."""
+    """Verified links (tid, leader) between nodes (tid, doc_id, th, n_words, keys)."""
+    # Linked texts lie in one range of lengths or in two adjacent ones: a bucket for each two
+    span = F.floor(F.log(F.col("n_words")) / (math.log(1 / similarity) + 1e-9))
     members = staged(_in_company(
-        nodes.select("tid", F.explode(F.array_distinct("keys")).alias("key"),
-                     F.lit(True).alias("open"))), "members")
+        nodes.select("tid", F.explode(F.array(span, span + 1)).alias("span"),
+                     F.array_distinct("keys").alias("keys"))
+        .select("tid", "span", F.explode("keys").alias("sketch"))
+        .select("tid", F.xxhash64("sketch", "span").alias("key"),
+                F.col("tid").alias("part_of"))), "members")
     wanted = (nodes.select("tid", "doc_id", "th")
               .join(members.select("tid").distinct(), "tid", "left_semi"))
     bodies = staged(
@@ -262,35 +269,58 @@ def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
         .select("tid", "text").dropDuplicates(["tid"]), "bodies")
     # Lengths of linked texts differ by at most 1 / similarity. So a text at a share u of a leader
     # can be linked to one at a share s only if s <= (1 - similarity + u) / similarity.
-    reach = ((1 - similarity) + F.col("nearest")) / similarity + 1e-9
+    reach = ((1 - similarity) + F.col("share")) / similarity + 1e-9
     links, judged, leaders_each = [], None, 1
     while not members.isEmpty():
-        share = F.pmod(F.xxhash64("tid", F.lit(leaders_each)), F.lit(leaders_each))
-        leaders = (members.where("open").groupBy("key", share.alias("part"))
-                   .agg(F.min("tid").alias("leader")).select("key", "leader"))
-        met = staged(members.join(leaders, "key").where(F.col("tid") != F.col("leader")), "met")
-        pairs = met.select("tid", "leader").distinct()
+        part = F.pmod(F.xxhash64("tid", F.lit(leaders_each)), F.lit(leaders_each))
+        leaders = staged(
+            members.groupBy("key", part.alias("part"))
+            .agg(F.min(F.struct("tid", "part_of")).alias("own"))
+            .select("key", F.col("own.tid").alias("leader"),
+                    F.col("own.part_of").alias("leads")), "leaders")
+        met = staged(
+            members.join(leaders, (members["key"] == leaders["key"])
+                         & (members["part_of"] != leaders["leads"]))
+            .select(members["key"], "leader", "leads", F.col("tid").alias("member"), "part_of",
+                    F.least("tid", "leader").alias("tid"),
+                    F.greatest("tid", "leader").alias("other")), "met")
+        pairs = met.select("tid", F.col("other").alias("leader")).distinct()
         if judged is not None:
             pairs = pairs.join(judged, ["tid", "leader"], "left_anti")
         texts = bodies.withColumnRenamed("text", "other").withColumnRenamed("tid", "leader")
         found = staged(verified(
             pairs.join(bodies, "tid").join(texts, "leader"), similarity), "verdicts")
-        links.append(found.where("linked").select("tid", "leader"))
-        judged = found if judged is None else staged(judged.unionByName(found), "judged")
-        # nearest is null for members that are linked to no leader of the bucket: they stay open
-        state = staged(
-            met.join(judged, ["tid", "leader"]).groupBy("key", "tid", "open").agg(
-                F.max(F.when(F.col("linked"), F.col("share"))).alias("nearest"),
-                F.min(F.when(~F.col("linked"), F.col("share"))).alias("apart"))
-            # a leader has met every member
-            .join(leaders.withColumnRenamed("leader", "tid"), ["key", "tid"], "left_anti")
-            .withColumn("open", F.col("open") & F.col("nearest").isNull()), "state")
-        apart = (state.where("open").groupBy("key")
-                 .agg(F.min("apart").alias("least")))  # buckets without open members are done
-        members = staged(_in_company(
-            state.join(apart, "key")
-            .where(F.col("open") | F.col("nearest").isNull() | (F.col("least") <= reach))
-            .select("key", "tid", "open")), "members")
+        linked = found.where("linked").select("tid", "leader")
+        links.append(linked)
+        judged = found if judged is None else judged.unionByName(found)
+        merged = components(
+            met.join(linked.withColumnRenamed("leader", "other"), ["tid", "other"], "left_semi")
+            .select(F.col("leads").alias("a"), F.col("part_of").alias("b")))
+
+        def renamed(table: DataFrame, name: str) -> DataFrame:
+            """The table with the components of this round."""
+            return table.withColumnRenamed(name, "id").join(merged, "id", "left").withColumn(
+                name, F.coalesce("label", "id")).drop("id", "label")
+
+        # a leader has met every member that lies in another component, other leaders included
+        led = leaders.select("key", F.col("leader").alias("tid"))
+        seen = met.join(judged.withColumnRenamed("leader", "other"), ["tid", "other"]).select(
+            "key", "leader", "leads", F.col("member").alias("tid"), "part_of", "linked", "share")
+        apart = (renamed(renamed(seen.where("not linked"), "leads"), "part_of")
+                 .where(F.col("leads") != F.col("part_of"))
+                 .join(led, ["key", "tid"], "left_anti")
+                 .groupBy("key", "leader").agg(F.min("share").alias("least")))
+        # done: near enough to a leader that nothing outside the component can be linked to it
+        done = (seen.where("linked").join(apart, ["key", "leader"], "left")
+                .where(F.col("least").isNull() | (F.col("least") > reach))
+                .select("key", "tid"))
+        left = staged(renamed(
+            members.join(led.unionByName(done).distinct(), ["key", "tid"], "left_anti"),
+            "part_of"), "left")
+        divided = (left.groupBy("key")
+                   .agg(F.min("part_of").alias("low"), F.max("part_of").alias("high"))
+                   .where(F.col("low") != F.col("high")).select("key"))
+        members = staged(left.join(divided, "key", "left_semi"), "members")
         leaders_each *= 4
     if not links:
         return nodes.select("tid", F.col("tid").alias("leader")).where(F.lit(False))
@@ -309,14 +339,15 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     found = staged(sketched(rows, gram, count, width), "sketches")
     nodes = staged(
         found.groupBy("tid").agg(
-            F.min(F.struct("doc_id", "th")).alias("own"), F.first("keys").alias("keys"))
-        .select("tid", "own.doc_id", "own.th", "keys"), "nodes")
+            F.min(F.struct("doc_id", "th")).alias("own"), F.first("n_words").alias("n_words"),
+            F.first("keys").alias("keys"))
+        .select("tid", "own.doc_id", "own.th", "n_words", "keys"), "nodes")
     links = staged(near_links(rows, nodes, similarity), "links")
     groups = components(links.select(F.col("tid").alias("a"), F.col("leader").alias("b")))
     degree = (links.select("tid").unionAll(links.select("leader"))
               .groupBy("tid").agg(F.count("*").alias("n_links")))
     labelled = staged(
-        nodes.drop("keys").join(groups.withColumnRenamed("id", "tid"), "tid", "left")
+        nodes.drop("keys", "n_words").join(groups.withColumnRenamed("id", "tid"), "tid", "left")
         .join(degree, "tid", "left")
         .select("tid", "doc_id", "th", F.coalesce("label", "tid").alias("label"),
                 F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "labelled")

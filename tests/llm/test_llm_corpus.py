@@ -260,6 +260,26 @@ def test_families_with_a_shared_passage(spark):
     assert got == dict(brute.near_classes(rows))
 
 
+def test_bridges_between_closed_members(spark):
+    """Chains L1-m-m'-L2 in one bucket each, with names that let any of them lead first."""
+    random.seed(7)
+    rows, nodes = [], []
+    for chain in range(60):
+        words = [f"c{chain}x{i}" for i in range(100)]
+        for link in range(4):
+            if link:
+                words[15 * link:15 * link + 15] = [f"d{chain}x{link}x{i}" for i in range(15)]
+            doc = 4 * chain + link
+            rows.append((doc, doc, " ".join(words)))
+            nodes.append((random.randbytes(16), doc, doc, 100, [chain]))
+    links = near.near_links(
+        spark.createDataFrame(rows, "doc_id long, th long, text string"),
+        spark.createDataFrame(
+            nodes, "tid binary, doc_id long, th long, n_words long, keys array<long>"))
+    found = components.components(links.toDF("a", "b")).collect()
+    assert len(found) == len(rows) and len({bytes(r["label"]) for r in found}) == 60
+
+
 def test_near_edge_cases(edge, nothing):
     out = near.near_classes(edge).collect()
     assert len(out) == len(EDGE)
