@@ -19,8 +19,10 @@ Defined cases: null and empty texts, and texts without words, are equal to one a
 fewer than five words is one gram. The class is named by its smallest doc_id; a null id counts as
 smallest. Rows equal in id and text have the same class, and both represent it if it is theirs.
 Texts are used whole; other columns are ignored. Which similar pairs meet in a bucket is a matter
-of probability: with the defaults over 0.9999 at 0.8 of shared grams, 0.998 at 0.66 and 0.85 at
-0.45 (two copies of one text, each with one word in twenty changed).
+of probability, 1 - (1 - J^TUPLE)^SKETCHES at a share J of common grams. Measured on 1,000 pairs of
+20 to 250 distinct words each, with so many percent of the words changed at random places: 1.000 at
+5, 0.971 at 10, 0.794 at 15 and 0.554 at 20, the edge of the link rule (16 sketches of two grams:
+0.998, 0.939, 0.719, 0.479; 20 of three: 0.997, 0.762, 0.372, 0.144).
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from ledgerlens.sources.staging import staged
 
 GRAM = 5
 SKETCHES = 20
-TUPLE = 3
+TUPLE = 2
 SIMILARITY = 0.8
 
 

@@ -280,6 +280,22 @@ def test_bridges_between_closed_members(spark):
     assert len(found) == len(rows) and len({bytes(r["label"]) for r in found}) == 60
 
 
+def test_sketches_meet_scattered_edits():
+    """Of texts with 15 in 100 words changed, at least as many share a sketch as with two grams in
+    16 sketches, the first version."""
+    random.seed(8)
+    met = 0
+    for text in range(200):
+        one = [random.getrandbits(62) for _ in range(100)]
+        two = list(one)
+        for at in random.sample(range(100), 15):
+            two[at] = random.getrandbits(62)
+        keys = near.sketches(np.array(one + two, np.uint64), np.array([0, 100, 200]), near.GRAM,
+                             near.SKETCHES, near.TUPLE)
+        met += bool(set(keys[0]) & set(keys[1]))
+    assert met >= 0.74 * 200
+
+
 def test_near_edge_cases(edge, nothing):
     out = near.near_classes(edge).collect()
     assert len(out) == len(EDGE)
