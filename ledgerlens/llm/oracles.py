@@ -68,4 +68,54 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
 from fold left join covered using (doc_id) left join named using (doc_id)
 """
 
-ORACLES = {"op3_topk": TOPK, "op6_substrings": SUBSTRINGS, "op8_decontaminate": DECONTAMINATE}
+AUDIT = r"""
+with d as (
+  select coalesce(lang, '') as part, doc_id, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+firsts as (select t, min(doc_id) as first from d group by t),
+marks as (
+  select doc_id, coalesce(bool_or(quality = 1), false) as good,
+         coalesce(bool_or(toxic = 1), false) as toxic from labels group by doc_id),
+f as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+         case when len(w) < 200 then 1 else 0 end as a,
+         case when 100 * len(list_distinct(w)) < 50 * len(w) then 1 else 0 end as b,
+         case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t)
+              then 1 else 0 end as c,
+         case when regexp_matches(t, '[#$%&*|]') then 1 else 0 end as d,
+         case when d.doc_id > first then 1 else 0 end as e
+  from d join firsts using (t) left join marks on d.doc_id = marks.doc_id),
+g as (
+  select part, good, toxic, [a, b, c, d, e] as s,
+         a + b + c + d + e as n_fails, count(*) as n
+  from f group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+  select l1.x || l2.x || l3.x || l4.x || l5.x as o
+  from letters l1, letters l2, letters l3, letters l4, letters l5
+  where len(list_distinct([l1.x, l2.x, l3.x, l4.x, l5.x])) = 5),
+steps as (select o, step, o[step] as x, o[1:step - 1] as before from orders, range(1, 6) r(step)),
+r as (
+  select g.*, o, step, s[instr('ABCDE', x)] = 1 as own,
+         len(list_filter(string_split(before, ''), lambda y: y <> '' and s[instr('ABCDE', y)] = 1)) > 0 as gone
+  from g, steps),
+counts as (
+  select part, o, step, o[step] as x,
+         coalesce(sum(n) filter (not own and not gone), 0) as kept,
+         coalesce(sum(n) filter (own and not gone), 0) as removed,
+         coalesce(sum(n) filter (own and gone), 0) as redundant,
+         coalesce(sum(n) filter (own and n_fails = 1), 0) as unique_fails,
+         coalesce(sum(n) filter (own and not gone and good), 0) as good_lost,
+         coalesce(sum(n) filter (own and not gone and toxic), 0) as toxic_lost
+  from r group by part, o, step)
+select part, o as filter_order, cast(step as integer) as step, cast(kept as bigint) as kept,
+       cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+       cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+       cast(toxic_lost as bigint) as toxic_lost,
+       cast(sum(removed) over (partition by part, x) as bigint) as shapley
+from counts
+"""
+
+ORACLES = {"op3_topk": TOPK, "op6_substrings": SUBSTRINGS, "op8_decontaminate": DECONTAMINATE,
+           "op11_audit": AUDIT}

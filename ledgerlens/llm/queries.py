@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
+    audit,
     decontaminate,
     language,
     licenses,
@@ -92,6 +93,12 @@ def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_classes(table(spark, sf_dir, "documents")).drop("th", "class_th")
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+        {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1})
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_licences, op3_topk, op4_secrets, op5_personal, op6_substrings, op7_packing,
-    op8_decontaminate, op9_language, op10_near)}
+    op8_decontaminate, op9_language, op10_near, op11_audit)}

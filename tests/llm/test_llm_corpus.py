@@ -71,7 +71,7 @@ def test_query_equals_its_sql(spark, sf_dir, database, name):
 
 def test_every_operator_is_registered_once():
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 1 + len(numbers))) and len(numbers) >= 11
 
 
 # -- substrings -------------------------------------------------------------------------------
