@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
+    alignment,
     audit,
     decontaminate,
     language,
@@ -99,6 +100,13 @@ def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1})
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(
+        docs.withColumn("doc_id", F.col("doc_id").cast("long")),
+        tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), digests=True)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_licences, op3_topk, op4_secrets, op5_personal, op6_substrings, op7_packing,
-    op8_decontaminate, op9_language, op10_near, op11_audit)}
+    op8_decontaminate, op9_language, op10_near, op11_audit, op13_alignment)}
