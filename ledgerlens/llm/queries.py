@@ -12,6 +12,7 @@ from ledgerlens.llm import (
     language,
     licenses,
     near,
+    neighbours,
     packing,
     personal,
     secrets,
@@ -100,6 +101,10 @@ def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1})
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return alignment.align(
@@ -109,4 +114,5 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_licences, op3_topk, op4_secrets, op5_personal, op6_substrings, op7_packing,
-    op8_decontaminate, op9_language, op10_near, op11_audit, op13_alignment)}
+    op8_decontaminate, op9_language, op10_near, op11_audit, op12_neighbours,
+    op13_alignment)}
