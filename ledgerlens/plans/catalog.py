@@ -15,6 +15,7 @@ from ledgerlens.functions.names import normalise_columns
 from ledgerlens.functions.stemming import stem
 from ledgerlens.functions.verdict import result_code
 from ledgerlens.operators import encode, filters, merge, report, sampling, scope
+from ledgerlens.operators.wordvectors import WordVectors, association, pair_counts
 from ledgerlens.plans import jobs, standin
 from ledgerlens.plans.features import (
     ROW, TextOptions, fit_encoder, prepare, text_encoder,
@@ -598,6 +599,30 @@ def dense_text(spark, sf_dir):
     return cell_sums(rows, text_encoder(rows, "dense", TextOptions()).cells(rows))
 
 
+def all_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select(
+        "doc_id", text.words(text.clean_text(F.col("text"))).alias("words"))
+
+
+@query
+def word_association(spark, sf_dir):
+    """Of every word: with how many others it stands together more often than by chance, how often,
+    and the sum of their positive pointwise mutual information."""
+    found = association(pair_counts(all_words(spark, sf_dir), "words", TextOptions().window))
+    return found.groupBy(F.col("a").alias("word")).agg(
+        F.count("*").alias("partners"), F.sum("n").alias("n"),
+        F.round(F.sum("value"), 4).alias("association"))
+
+
+@query
+def word_vectors(spark, sf_dir):
+    """The length of every word's vector, and what the vectors explain of the association table."""
+    model = WordVectors.fit(all_words(spark, sf_dir), "words", SMALL_TEXT.vector_size)
+    share = model.values.agg(F.max("share")).first()[0]
+    return model.vectors().select("term", F.sqrt(F.aggregate(
+        "vector", F.lit(0.0), lambda a, x: a + x * x)).alias("length"), F.lit(share).alias("share"))
+
+
 @query
 def rf_code(spark, sf_dir):
     return train_code_classifier(section_rows(spark, sf_dir, "above", "tfidf"), "rf", SMALL).report
@@ -610,14 +635,14 @@ def svm_code(spark, sf_dir):
 
 @query
 def dense_rf(spark, sf_dir):
-    rows = section_rows(spark, sf_dir, "above", "dense")
+    rows = section_rows(spark, sf_dir, "above", "vectors")
     return train_code_classifier(rows, "dense_rf", SMALL).report
 
 
 @query
 def dense_linear(spark, sf_dir):
     rows = sampling.stratified_split(
-        section_rows(spark, sf_dir, "above", "dense"), S.CODE, S.ID, 30)
+        section_rows(spark, sf_dir, "above", "vectors"), S.CODE, S.ID, 30)
     _, pairs, _ = fit_dense_linear(
         rows.where("not is_test"), rows.where("is_test"), S.CODE, SMALL)
     return report.class_report(pairs, S.CODE, "predicted")

@@ -100,7 +100,7 @@ def training_job(
         part = prepared.where(F.col("section") == section)
         if part.isEmpty():
             continue
-        if ALGORITHMS[algorithm] == "dense":
+        if ALGORITHMS[algorithm] == "vectors":
             sides = stratified_split(part, S.CODE, S.ID, CODE_HOLDOUT, options.seed)
             head, pairs, history = fit_dense_linear(
                 sides.where("not is_test"), sides.where("is_test"), S.CODE, options)

@@ -411,6 +411,23 @@ ORACLES["dense_text"] = base(
 ) + f"select {S.ID}, {SUMS} from commitments join text_cells using (doc_id) group by 1"
 
 
+ORACLES["word_association"] = f"""with listed as (
+  select doc_id, list_filter(string_split({CLEAN}, ' '), lambda w: w <> '') as w from documents),
+words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from listed),
+near as (
+  select x.word as a, y.word as b from words x join words y on x.doc_id = y.doc_id
+    and y.i - x.i between -5 and 5 and y.i <> x.i),
+counts as (select a, b, cast(count(*) as bigint) as n from near group by 1, 2),
+totals as (select a as word, sum(n) as total from counts group by 1),
+scored as (
+  select a, n, ln(n * (select sum(n) from counts)::double / (t.total::double * u.total::double))
+    as value
+  from counts join totals t on t.word = a join totals u on u.word = b)
+select a as word, count(*) as partners, cast(sum(n) as bigint) as n,
+       round(sum(value), 4) as association
+from scored where value > 0 group by 1"""
+
+
 def encoded(categories: list[str], more: tuple[str, ...] = ()) -> str:
     columns = derived_categories(categories)
     cells = " union all ".join(
