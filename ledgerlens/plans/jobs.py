@@ -21,7 +21,7 @@ from ledgerlens.plans.models import (
     ALGORITHMS, Classifier, ModelOptions, fit_classifier, fit_dense_linear,
 )
 from ledgerlens.operators.filters import slice_condition
-from ledgerlens.sources.scan import load_commitments, require_rows
+from ledgerlens.sources.scan import arrival, load_commitments, require_rows
 from ledgerlens.sources.sinks import run_name, write_csv, write_results
 from ledgerlens.sources.staging import staged
 from ledgerlens.sources.state import StateStore
@@ -160,13 +160,13 @@ def infer(
 ) -> DataFrame:
     """Result per identifier. Rows out of scope are not scored.
 
-    The last row of an identifier wins, in order of arrival: the position in the scan. ``order``
-    names columns that come before it. The noted rows are written out, so that both branches
+    The last row of an identifier wins, in order of arrival: files by name, then the place in the
+    file, however the scan is split. ``order`` names columns that come before it. The noted rows are written out, so that both branches
     see one order, and a source is read once.
     """
     # Under names of their own, since scoring derives other columns from the period.
     place = {f"_place{at}": F.col(name) for at, name in enumerate(order or [])}
-    place["_arrival"] = F.monotonically_increasing_id()
+    place["_arrival"] = arrival(commitments)
     noted = staged(with_scope(commitments.withColumns(place), scope), "noted")
     kept = [S.ID, S.CODE, *place]
     notes = noted.where(F.col("scope_note").isNotNull()).select(*kept, "scope_note")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,6 +97,20 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
 
 
+def arrival(rows: DataFrame) -> Column:
+    """What puts the rows of a scan in order: the file in name order, where its block starts, the
+    place in the block. Spark packs blocks of several files into one task, large ones first, but
+    never reorders a block, so the row number of a task decides only within one. Rows that are
+    not those of a file scan (a database, a join) are in the order of their tasks."""
+    place = F.monotonically_increasing_id().alias("place")
+    try:
+        rows.select("_metadata.file_path", "_metadata.file_block_start")
+    except AnalysisException:
+        return F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("block"), place)
+    return F.struct(F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"), place)
+
+
 def require_rows(df: DataFrame) -> DataFrame:
     if df.isEmpty():
         raise EmptyInput("no commitment matches the filters")
@@ -115,12 +130,17 @@ def load_commitments(
 ) -> DataFrame:
     """Input of a job: the file if one is given, else the filtered database table.
 
-    A file is read whole. A training run without filters reads all years from ``first_year``.
+    A file is read whole, unless dates or organs are named, which then select its rows. A training
+    run on a database without filters reads all years from ``first_year``.
     """
     if path:
         if path.lower().rstrip("/").endswith(".csv"):
-            return read_csv(spark, path)
-        return normalise_columns(spark.read.parquet(path))
+            rows = read_csv(spark, path)
+        else:
+            rows = normalise_columns(spark.read.parquet(path))
+        if dates or daterange or orgaos:
+            rows = rows.where(slice_condition(as_of or dt.date.today(), dates, daterange, orgaos))
+        return rows
     if jdbc is None:
         raise ValueError("give a path or JDBC options")
     source = read_jdbc(spark, jdbc)
