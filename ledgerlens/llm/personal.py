@@ -57,13 +57,20 @@ def automaton():
         for digit in "0123456789":
             found.add_word(digit, "0")
         for cue in (*CUES, IBAN_CUE):
-            for form in {cue, cue.upper(), cue.capitalize(), cue.title()}:
-                found.add_word(form, "i" if cue == IBAN_CUE else "c")
+            found.add_word(cue, "i" if cue == IBAN_CUE else "c")
         found.make_automaton()
         _AUTOMATA.append(found)
     return _AUTOMATA[0]
 
 
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+
+def lowered(text: str) -> str:
+    """The text with small ASCII letters; every character keeps its place."""
+    return text.lower() if text.isascii() else text.translate(_LOWER)
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -84,7 +91,7 @@ def spans(text: str) -> dict[str, list[tuple[int, int]]]:
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     free = dict.fromkeys((*BASE, "user"), 0)  # what lies before is used up
     cues = []
-    for end, sign in automaton().iter(text):
+    for end, sign in automaton().iter(lowered(text)):
         if sign == "0":
             if end >= free["ip"]:
                 found = _IP.match(text, end)
@@ -115,7 +122,7 @@ def spans(text: str) -> dict[str, list[tuple[int, int]]]:
                 if 9 <= sum(c in "0123456789" for c in found[0]) <= 15:
                     out["phone"].append(found.span())
         elif sign == ":":
-            if end + 1 >= free["user"] and (found := _USER.match(text, end + 1, end + 400)):
+            if end + 1 >= free["user"] and (found := _USER.match(text, end + 1)):
                 out["user"].append((end + 1, found.end() - 2))
                 free["user"] = found.end()
         else:
