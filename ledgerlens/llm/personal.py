@@ -68,7 +68,10 @@ _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 def lowered(text: str) -> str:
     """The text with small ASCII letters; every character keeps its place."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+    # Two letters beyond ASCII become ASCII ones, one of them two characters.
+    if "\u0130" in text or "\u212a" in text:
+        return text.translate(_LOWER)
+    return text.lower()
 
 
 def luhn(digits: str) -> bool:
