@@ -41,9 +41,13 @@ from ledgerlens.llm.tables import text_rows
 from ledgerlens.sources.staging import staged
 
 GRAM = 5
-SKETCHES = 20
+SKETCHES = 40
 TUPLE = 2
 SIMILARITY = 0.8
+#: Pairs of texts of which the shorter one has fewer words meet by their rarest words, too.
+SHORT = 50
+#: Slots of the table of word frequencies: 2 MB, whatever the corpus.
+SLOTS = 1 << 18
 
 
 def _labelled(grams: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -246,33 +250,120 @@ def verified(pairs: DataFrame, similarity: float) -> DataFrame:
         run, "tid binary, leader binary, linked boolean, share double")
 
 
-def _in_company(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold at least two texts."""
-    crowded = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return members.join(crowded, "key", "left_semi")
+def frequencies(rows: DataFrame) -> np.ndarray:
+    """How often labelled words occur in all texts, by SLOTS slots of their hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for _, data, bounds in W.slices(batches):
+            found = W.find(data, bounds, W.SPACES, W.SAME)
+            total += np.bincount(_slot(_words(found.hash, found.first)), minlength=SLOTS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array(total[some])], names=["slot", "n"])
+
+    sums = (rows.select("text").mapInArrow(run, "slot int, n long")
+            .groupBy("slot").agg(F.sum("n").alias("n")).toArrow())
+    out = np.zeros(SLOTS, np.int64)
+    out[sums["slot"].to_numpy()] = sums["n"].to_numpy()
+    return out
 
 
-def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified links (tid, leader) between nodes (tid, doc_id, th, n_words, keys)."""
+def _words(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Occurrence-labelled words of texts, one text after the other."""
+    return _labelled(hashes, np.repeat(np.arange(len(first) - 1), np.diff(first)))
+
+
+def _slot(labelled: np.ndarray) -> np.ndarray:
+    return (labelled % np.uint64(SLOTS)).astype(np.int64)
+
+
+def rarest(labelled: np.ndarray, frequency: np.ndarray, similarity: float,
+           reference: np.ndarray | None = None) -> np.ndarray:
+    """The words of a text of which any two linked texts have one in common.
+
+    Linked texts share all but (1 - similarity) of the longer one's labelled words. So under any one
+    order of words, one more than that share from the start of each must meet. Here words of the
+    reference come last, and rare words before frequent ones; words of no other text are left out.
+    """
+    count = frequency[_slot(labelled)]
+    late = np.zeros(len(labelled), bool) if reference is None else np.isin(labelled, reference)
+    some = np.lexsort((labelled, count, late))[:int((1 - similarity) * len(labelled) + 1e-9) + 1]
+    return labelled[some[count[some] > 1]]
+
+
+def with_words(texts: DataFrame, frequency: np.ndarray, similarity: float) -> DataFrame:
+    """(tid, part_of, text[, leader, other]) -> (key, tid, part_of), a row for each of the
+    rarest words of a text, those of the leader's text `other` last."""
+    led = "leader" in texts.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, bounds in W.slices(batches, limit=1 << 20):
+            one = W.find(data, bounds, W.SPACES, W.SAME)
+            mine = _words(one.hash, one.first)
+            if led:
+                two = W.find(*W.texts(batch.column("other")), W.SPACES, W.SAME)
+                theirs = _words(two.hash, two.first)
+            chosen = [rarest(mine[one.first[i]:one.first[i + 1]], frequency, similarity,
+                             theirs[two.first[i]:two.first[i + 1]] if led else None)
+                      for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("tid"), batch.column("part_of"),
+                 batch.column("leader") if led else batch.column("tid"),
+                 W.ragged(W.signed(np.concatenate(chosen)), np.array([len(c) for c in chosen]),
+                          pa.int64())],
+                names=["tid", "part_of", "leader", "words"])
+
+    found = texts.mapInArrow(
+        run, "tid binary, part_of binary, leader binary, words array<long>")
+    owner = F.col("leader") if led else F.lit(0)
+    return found.select("tid", "part_of", "leader", F.explode("words").alias("word")).select(
+        F.xxhash64(owner, "word").alias("key"), "tid", "part_of")
+
+
+def _divided(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold texts of at least two components."""
+    several = (members.groupBy("key")
+               .agg(F.min("part_of").alias("low"), F.max("part_of").alias("high"))
+               .where(F.col("low") != F.col("high")).select("key"))
+    return members.join(several, "key", "left_semi")
+
+
+def _buckets(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(key, tid, part_of): nodes by the sketches that they share with another node."""
+    entries = nodes.select("tid", "n_words", F.explode(F.array_distinct("keys")).alias("sketch"))
+    shared = entries.groupBy("sketch").agg(F.count("*").alias("n")).where("n > 1").select("sketch")
     # Linked texts lie in one range of lengths or in two adjacent ones: a bucket for each two
     span = F.floor(F.log(F.col("n_words")) / (math.log(1 / similarity) + 1e-9))
-    members = staged(_in_company(
-        nodes.select("tid", F.explode(F.array(span, span + 1)).alias("span"),
-                     F.array_distinct("keys").alias("keys"))
-        .select("tid", "span", F.explode("keys").alias("sketch"))
-        .select("tid", F.xxhash64("sketch", "span").alias("key"),
-                F.col("tid").alias("part_of"))), "members")
-    wanted = (nodes.select("tid", "doc_id", "th")
-              .join(members.select("tid").distinct(), "tid", "left_semi"))
-    bodies = staged(
-        rows.alias("d").join(
-            wanted.alias("w"),
-            F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.th") == F.col("w.th")))
-        .select("tid", "text").dropDuplicates(["tid"]), "bodies")
+    return _divided(
+        entries.join(shared, "sketch", "left_semi")
+        .select("tid", "sketch", F.explode(F.array(span, span + 1)).alias("span"))
+        .select(F.xxhash64("sketch", "span").alias("key"), "tid", F.col("tid").alias("part_of")))
+
+
+def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Verified links (tid, leader) between nodes (tid, doc_id, th, n_words, keys)."""
+    frequency = frequencies(rows)
+
+    def bodies_of(some: DataFrame) -> DataFrame:
+        return rows.alias("d").join(
+            some.alias("w"),
+            F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.th") == F.col("w.th"))
+        ).select("tid", "text").dropDuplicates(["tid"])
+
+    short = bodies_of(nodes.where((F.col("n_words") > 0)
+                                  & (F.col("n_words") * similarity < SHORT)))
+    members = staged(
+        _buckets(nodes, similarity).unionByName(_divided(staged(with_words(
+            short.select("tid", F.col("tid").alias("part_of"), "text"),
+            frequency, similarity), "short"))), "members")
+    bodies = staged(bodies_of(
+        nodes.select("tid", "doc_id", "th")
+        .join(members.select("tid").distinct(), "tid", "left_semi")), "bodies")
+    texts = bodies.withColumnRenamed("text", "other").withColumnRenamed("tid", "leader")
     # Lengths of linked texts differ by at most 1 / similarity. So a text at a share u of a leader
     # can be linked to one at a share s only if s <= (1 - similarity + u) / similarity.
     reach = ((1 - similarity) + F.col("share")) / similarity + 1e-9
-    links, judged, leaders_each = [], None, 1
+    links, judged, leaders_each, split = [], None, 1, False
     while not members.isEmpty():
         part = F.pmod(F.xxhash64("tid", F.lit(leaders_each)), F.lit(leaders_each))
         leaders = staged(
@@ -289,7 +380,6 @@ def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
         pairs = met.select("tid", F.col("other").alias("leader")).distinct()
         if judged is not None:
             pairs = pairs.join(judged, ["tid", "leader"], "left_anti")
-        texts = bodies.withColumnRenamed("text", "other").withColumnRenamed("tid", "leader")
         found = staged(verified(
             pairs.join(bodies, "tid").join(texts, "leader"), similarity), "verdicts")
         linked = found.where("linked").select("tid", "leader")
@@ -308,22 +398,33 @@ def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
         led = leaders.select("key", F.col("leader").alias("tid"))
         seen = met.join(judged.withColumnRenamed("leader", "other"), ["tid", "other"]).select(
             "key", "leader", "leads", F.col("member").alias("tid"), "part_of", "linked", "share")
-        apart = (renamed(renamed(seen.where("not linked"), "leads"), "part_of")
+        near = staged(seen.where("linked").select("key", "leader", "tid", "share"), "near")
+        # only leaders with linked members have some that may be done
+        others = (seen.where("not linked")
+                  .join(near.select("key", "leader").distinct(), ["key", "leader"], "left_semi")
+                  .join(led, ["key", "tid"], "left_anti")
+                  .groupBy("key", "leader", "leads", "part_of").agg(F.min("share").alias("share")))
+        apart = (renamed(renamed(others, "leads"), "part_of")
                  .where(F.col("leads") != F.col("part_of"))
-                 .join(led, ["key", "tid"], "left_anti")
                  .groupBy("key", "leader").agg(F.min("share").alias("least")))
         # done: near enough to a leader that nothing outside the component can be linked to it
-        done = (seen.where("linked").join(apart, ["key", "leader"], "left")
+        done = (near.join(apart, ["key", "leader"], "left")
                 .where(F.col("least").isNull() | (F.col("least") > reach))
                 .select("key", "tid"))
-        left = staged(renamed(
+        left = staged(_divided(staged(renamed(
             members.join(led.unionByName(done).distinct(), ["key", "tid"], "left_anti"),
-            "part_of"), "left")
-        divided = (left.groupBy("key")
-                   .agg(F.min("part_of").alias("low"), F.max("part_of").alias("high"))
-                   .where(F.col("low") != F.col("high")).select("key"))
-        members = staged(left.join(divided, "key", "left_semi"), "members")
-        leaders_each *= 4
+            "part_of"), "left")), "members")
+        if split:
+            members, leaders_each = left, leaders_each * 4
+        else:
+            # what a bucket's leader did not settle meets again by the words it does not share
+            # with the leader; buckets of one leader become one
+            again = (left.join(leaders, "key").select("tid", "part_of", "leader").distinct()
+                     .join(bodies, "tid").join(texts, "leader"))
+            members = staged(_divided(staged(
+                with_words(again.select("tid", "part_of", "text", "leader", "other"),
+                           frequency, similarity), "words")), "members")
+            split = True
     if not links:
         return nodes.select("tid", F.col("tid").alias("leader")).where(F.lit(False))
     out = links[0]
