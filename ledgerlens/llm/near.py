@@ -8,21 +8,27 @@ linked when their edit distance, by an alignment in a band of that width, is at
 (1 - `similarity`) of the longer one. Classes are the connected components of the links.
 
 Texts with equal words are one node. In a bucket, members are verified against a leader, not with
-one another. Further rounds take more leaders each time, from all members that are left, and compare
-them with the members of other components only: pairs that earlier links have put into one component
-need no verdict. A member leaves a bucket when it has been a leader, or when it is linked to one and
-by the triangle inequality can be linked to no member of another component; a bucket is done when
-its members lie in one component. Buckets are split by length where linked texts cannot be. So no candidate link between different classes is lost, and a
-family of n copies costs n comparisons.
+one another. A member leaves a bucket when it has been a leader, or when it is linked to one and by
+the triangle inequality can be linked to no member of another component; a bucket is done when its
+members lie in one component. So a family of n copies costs n comparisons.
+
+What a first leader leaves open, such as many texts that only share a passage, is split exactly:
+linked texts share so many words that, under any one order, the first floor(0.2 n) + 1 of each have
+one in common (`rarest`). The words of the leader come last and rare ones first, so texts meet by
+what they do not share with the leader. Later rounds take more leaders each time and compare members
+of other components only. Buckets of equal members are one, and sketches meet within ranges of
+length. No candidate link between different classes is lost. Texts that share words beside a passage
+may still meet in many of these smaller buckets.
 
 Defined cases: null and empty texts, and texts without words, are equal to one another. A text of
 fewer than five words is one gram. The class is named by its smallest doc_id; a null id counts as
 smallest. Rows equal in id and text have the same class, and both represent it if it is theirs.
-Texts are used whole; other columns are ignored. Which similar pairs meet in a bucket is a matter
-of probability, 1 - (1 - J^TUPLE)^SKETCHES at a share J of common grams. Measured on 1,000 pairs of
-20 to 250 distinct words each, with so many percent of the words changed at random places: 1.000 at
-5, 0.971 at 10, 0.794 at 15 and 0.554 at 20, the edge of the link rule (16 sketches of two grams:
-0.998, 0.939, 0.719, 0.479; 20 of three: 0.997, 0.762, 0.372, 0.144).
+Texts are used whole; other columns are ignored. Pairs whose shorter text has fewer than SHORT words
+also meet by their rarest words, so none of them that the link rule allows is missed. For longer ones
+it is a matter of probability, 1 - (1 - J^TUPLE)^SKETCHES at a share J of common grams. Measured with
+20 sketches on 1,000 pairs of 20 to 250 distinct words, with so many percent of the words changed at
+random places: 1.000 at 5, 0.971 at 10, 0.794 at 15 and 0.554 at 20, the edge of the link rule. The
+same formula gives 40 sketches 0.96 at 15 and 0.80 at 20; that was not measured.
 """
 
 from __future__ import annotations
@@ -321,10 +327,13 @@ def with_words(texts: DataFrame, frequency: np.ndarray, similarity: float) -> Da
 
 
 def _divided(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold texts of at least two components."""
+    """Members of buckets that hold texts of at least two components, each set of texts once."""
     several = (members.groupBy("key")
-               .agg(F.min("part_of").alias("low"), F.max("part_of").alias("high"))
-               .where(F.col("low") != F.col("high")).select("key"))
+               .agg(F.min("part_of").alias("low"), F.max("part_of").alias("high"),
+                    F.count("*").alias("n"), F.bit_xor(F.xxhash64("tid")).alias("one"),
+                    F.bit_xor(F.xxhash64("tid", F.lit(1))).alias("two"))
+               .where(F.col("low") != F.col("high"))
+               .groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key"))
     return members.join(several, "key", "left_semi")
 
 
@@ -415,7 +424,7 @@ def near_links(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
             members.join(led.unionByName(done).distinct(), ["key", "tid"], "left_anti"),
             "part_of"), "left")), "members")
         if split:
-            members, leaders_each = left, leaders_each * 4
+            members, leaders_each = left, leaders_each * 16
         else:
             # what a bucket's leader did not settle meets again by the words it does not share
             # with the leader; buckets of one leader become one

@@ -296,6 +296,43 @@ def test_sketches_meet_scattered_edits():
     assert met >= 0.74 * 200
 
 
+def test_short_texts_always_meet(spark):
+    """One word of n changed at any place, and texts of 49 words at the edge of the link rule."""
+    random.seed(9)
+    rows, wanted = [], {}
+    for n in [*range(5, 21), *[49] * 20]:
+        one = [f"s{len(rows)}x{i}" for i in range(n)]
+        two = list(one)
+        for at in random.sample(range(n), 9 if n == 49 else 1):
+            two[at] = f"t{len(rows)}x{at}"
+        for words in (one, two):
+            wanted[len(rows)] = len(rows) // 2 * 2
+            rows.append((len(rows), " ".join(words)))
+    out = near.near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["class_id"] for r in out.collect()} == wanted
+
+
+def test_linked_texts_share_a_rarest_word():
+    """For any frequencies and reference, and words that repeat."""
+    random.seed(10)
+    frequency = np.array([random.randint(2, 9) for _ in range(near.SLOTS)])
+    for _ in range(300):
+        n = random.randint(1, 60)
+        one = [random.randint(1, 40) for _ in range(n)]
+        two = list(one)
+        for at in random.sample(range(n), int(0.2 * n)):
+            two[at] = random.randint(1, 40)
+        if random.random() < 0.3:
+            two = two[:max(1, n - int(0.2 * n))] if two[:1] == one[:1] else two
+        a, b = np.array(one, np.uint64), np.array(two, np.uint64)
+        ours, theirs, other = (near._words(near.W.mix(x), np.array([0, len(x)])) for x in (
+            a, b, np.array([random.randint(1, 40) for _ in range(30)], np.uint64)))
+        linked, _ = near.verdict(a, b)
+        if linked:
+            assert set(near.rarest(ours, frequency, 0.8, other)) & set(
+                near.rarest(theirs, frequency, 0.8, other))
+
+
 def test_near_edge_cases(edge, nothing):
     out = near.near_classes(edge).collect()
     assert len(out) == len(EDGE)
