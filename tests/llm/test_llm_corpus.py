@@ -4,6 +4,7 @@ import os
 import random
 import sys
 from collections import Counter
+from functools import cache
 
 import duckdb
 import numpy as np
@@ -345,19 +346,40 @@ def test_near_edge_cases(edge, nothing):
 
 # -- licences ---------------------------------------------------------------------------------
 
-def plain_licence(text, path):
+def plain_headers(text):
+    """Lines, paragraphs, and runs of comment or other lines, without comment marks."""
+    import re
+    out, blocks = set(), [[], []]
+    last = None
+    for line in [*re.split("\r\n|\r|\n", text), ""]:
+        bare = line[re.match(r"(?:[ \t]|<!--|-->|/\*+|\*+/?|//+|#+|--+|;+|%+)*", line).end():]
+        marked = line.lstrip(" \t").startswith(("<!--", "/*", "*", "//", "#", "--", ";", "%"))
+        out.add(bare)
+        for block, ends in zip(blocks, (not bare, not bare or marked != last), strict=True):
+            if ends:
+                out.add("\n".join(block))
+                block.clear()
+            if bare:
+                block.append(bare)
+        last = marked
+    return [x for x in out if re.search(licenses.CUE, x)]
+
+
+@cache
+def plain_match(header):
     idf, rare, _ = licenses.vectors(licenses.TEMPLATES)
+    words = licenses._words(header)
+    return min((-round(brute.cosine(words, licenses._words(template), idf, rare), 9), name)
+               for name, template in licenses.TEMPLATES)
+
+
+def plain_licence(text, path):
     import re
-    lines = [x for x in re.split("\r\n|\r|\n", text or "") if re.search(licenses.CUE, x)]
+    headers = plain_headers(text or "")
     if re.search(licenses.LICENCE_FILE, path or ""):
-        lines.append(text or "")
-    best = (licenses.LEAST - 1e-9, None)
-    for line in lines:
-        for name, template in licenses.TEMPLATES:
-            c = brute.cosine(licenses._words(line), licenses._words(template), idf, rare)
-            if c > best[0] + 1e-9:
-                best = (c, name)
-    return best
+        headers.append(text or "")
+    best = min(map(plain_match, headers), default=(0, None))
+    return (-best[0], best[1]) if -best[0] >= licenses.LEAST else (0, None)
 
 
 def plain_licences(files):
@@ -400,6 +422,79 @@ def test_licences_of_a_tree(spark):
     assert got[11][2] == "a/b" and got[5][0] == "GPL-2.0" and got[6][1] == "none"
 
 
+GPL_HEADER = """%s
+%s This program is free software: you can redistribute it and/or modify
+%s it under the terms of the GNU General Public License as published by
+%s the Free Software Foundation, either version 3 of the License, or
+%s (at your option) any later version.
+%s
+%s This program is distributed in the hope that it will be useful,
+%s but WITHOUT ANY WARRANTY; without even the implied warranty of
+%s MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD_TEXT = """Copyright (c) 2011, The Project Authors. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+  * Redistributions of source code must retain the above copyright notice.
+  * Neither the name of the copyright holder nor the names of its contributors
+    may be used to endorse or promote products derived from this software
+    without specific prior written permission."""
+
+
+@pytest.mark.parametrize(("licence", "path", "text"), [
+    ("MIT", "a.c", "// SPDX-License-Identifier: MIT\nint x;"),
+    ("Apache-2.0", "a.py", "#!/bin/x\n# SPDX-License-Identifier: Apache-2.0\nimport os"),
+    ("GPL-2.0", "a.c", "/* SPDX-License-Identifier: GPL-2.0-or-later */"),
+    (None, "a.c", "// SPDX-License-Identifier: Foo-Bar"),
+    ("GPL-3.0", "a.py", GPL_HEADER.replace("%s", "#") + "\nimport os\n\nx = 1"),
+    ("GPL-3.0", "a.c", "/*" + GPL_HEADER.replace("%s", " *") + "\n */\nint main() {}"),
+    ("GPL-3.0", "a.h", "/*" + GPL_HEADER.replace("%s", "") + "\n*/\r\nint x;"),
+    ("GPL-3.0", "a.sql", GPL_HEADER.replace("%s ", "-- ").replace("%s", "--") + "\rselect 1"),
+    ("LGPL-3.0", "a.f", GPL_HEADER.replace("%s", ";").replace("GNU General", "GNU Lesser General")),
+    ("GPL-2.0", "a.f", GPL_HEADER.replace("%s", "%").replace("version 3", "version 2")),
+    ("BSD-3-Clause", "a.go", "// Copyright 2009 The Go Authors. All rights reserved.\n// Use of this "
+     "source code is governed by a BSD-style\n// license that can be found in the LICENSE file.\n"
+     "package main"),
+    ("Proprietary", "a.js", "// Copyright (c) 2020 Jane Doe. All rights reserved."),
+    ("MIT", "LICENSE", MIT_TEXT), ("BSD-3-Clause", "LICENSE", BSD_TEXT),
+    ("Apache-2.0", "LICENSE", "   Apache License\n   Version 2.0, January 2004\n   "
+     "http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE\n\n" + "1. More. " * 900),
+    ("GPL-3.0", "COPYING", "     GNU GENERAL PUBLIC LICENSE\n     Version 3, 29 June 2007\n\n"
+     "The GNU General Public License is a free, copyleft license.\n\n" + "Terms. " * 5000),
+    (None, "a.md", "The licence of this fine park is older than all rights of way in it."),
+])
+def test_licences_of_usual_headers(licence, path, text):
+    assert plain_licence(text, path)[1] == licence
+
+
+def test_headers_equal_plain_ones(spark):
+    """Marks, wrapped lines, line ends of all kinds, and long lines of marks and blanks."""
+    random.seed(4)
+    bits = ["# ", "//", " * ", "/*", "*/", "<!-- ", "-->", "licence", "copyright x", "word", "\n", "\r\n",
+            "\r", "\n\n", " ", "\t", "; ", "%%", "--"]
+    texts = ["".join(random.choice(bits) for _ in range(random.randint(0, 40))) for _ in range(500)]
+    texts += ["#" * 200_000 + " licence", " " * 200_000 + "licence\n" + "\n" * 200_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r["id"]: r["h"] for r in rows.select(
+        "id", licenses.headers(F.col("text")).alias("h")).collect()}
+    for i, text in enumerate(texts):
+        assert sorted(got[i]) == sorted(plain_headers(text)), repr(text[:200])
+
+
 def test_licence_query_equals_brute_force(spark, sf_dir):
     folder = sf_dir.replace("sf0.001", "sf0.1")
     tree = queries.file_tree(spark.read.parquet(f"{folder}/documents.parquet"))
