@@ -87,7 +87,9 @@ def training_job(
 ) -> dict[str, DataFrame]:
     """Read and clean commitments, fit both code classifiers and the correctness classifier, store
     state and reports. With dense texts, a linear head on the text alone is fitted, reported and
-    stored first, with the history of its candidates."""
+    stored first, with the history of its candidates. The state is a version of the store that is
+    published when all of it is written; a run that fails leaves the last one in place."""
+    store = store.begin()
     commitments = read_source(source, store, as_of, True, filters)
     rows = sample_rows(commitments, sample, S.ID, options.seed) if sample else commitments
     profile = code_profile(rows, expired, floor)
@@ -116,6 +118,7 @@ def training_job(
     trained = train_correctness(judged, options)
     trained.classifier.save(store, "correctness")
     reports["correctness"] = trained.report
+    store.publish()
     for name, report in reports.items():
         write_csv(report, f"{store.root}/reports/{name}")
     return reports
@@ -131,6 +134,7 @@ class Models:
 
     @classmethod
     def load(cls, store: StateStore, algorithm: str) -> Models:
+        store = store.current()
         stored = {r["section"] for r in store.load_table("all", "sections").collect()}
         codes = {section: Classifier.load(store, section, S.CODE_CATEGORIES)
                  for section in SECTIONS if section in stored}
@@ -181,6 +185,7 @@ def inference_job(
     algorithm: str = "dense_rf", order: list[str] | None = None, **filters,
 ) -> tuple[DataFrame, DataFrame]:
     """Read and score commitments, write the results and return them with their distribution."""
+    store = store.current()
     commitments = read_source(source, store, as_of, False, filters)
     models = Models.load(store, algorithm)
     results = infer(commitments, store.load_scope(), models.score, as_of, order)
@@ -202,7 +207,7 @@ def evaluation_job(
     seed: int = ModelOptions.seed,
 ) -> dict[str, DataFrame]:
     """Reports over all validated rows, and over the part the correctness model did not see."""
-    models = Models.load(store, algorithm)
+    models = Models.load(store.current(), algorithm)
     scored = staged(models.score(validated, [S.VERDICT]), "scored")
     held_out = stratified_split(
         scored, S.VERDICT, S.ID, VERDICT_HOLDOUT, seed).where("is_test")

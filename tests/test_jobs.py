@@ -192,3 +192,17 @@ def test_folds_reach_the_penalty_search(three_classes):
 def test_sampled_training_input(tables, spark, tmp_path):
     from ledgerlens.operators.sampling import sample_rows
     assert sample_rows(tables[0], 100, S.ID).count() == 100
+
+
+def test_a_failed_training_leaves_the_last_version(spark, tables, trained, monkeypatch):
+    store, _ = trained
+    before = store.current().version
+
+    def fails(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(jobs, "train_code_classifier", fails)
+    with pytest.raises(RuntimeError, match="stopped"):
+        jobs.training_job(*tables, store, algorithm="rf", floor=20, options=TINY)
+    assert before is not None and store.current().version == before
+    assert jobs.Models.load(store, "rf").codes

@@ -149,3 +149,22 @@ def test_csv_filters_are_pushed_to_parquet(spark, tmp_path):
     assert "EqualTo(periodo,2020/02/29)" in plan
     assert f"ReadSchema: struct<periodo:string,{S.ID}:string>" in plan
     assert rows.count() == 1
+
+
+def test_readers_see_whole_versions_only(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path))
+    one = store.begin()
+    one.save_table(spark.range(1), "above", "ranges")
+    one.publish()
+    reader = store.current()
+    two = store.begin()
+    two.save_table(spark.range(2), "above", "ranges")  # stopped here, or still at work
+    assert store.load_table("above", "ranges").count() == 1
+    two.save_table(spark.range(3), "above", "vocabulary")
+    two.publish()
+    assert store.load_table("above", "ranges").count() == 2
+    assert reader.load_table("above", "ranges").count() == 1  # a job keeps what it began with
+    with pytest.raises(ValueError, match="begin"):
+        store.save_table(spark.range(1), "above", "ranges")
+    with pytest.raises(ValueError, match="begun"):
+        store.publish()
