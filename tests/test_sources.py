@@ -168,3 +168,12 @@ def test_readers_see_whole_versions_only(spark, tmp_path):
         store.save_table(spark.range(1), "above", "ranges")
     with pytest.raises(ValueError, match="begun"):
         store.publish()
+
+
+def test_commitments_meet_their_texts_last(spark, sf_dir):
+    from ledgerlens.plans.standin import commitments
+    plan = commitments(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    # the uppermost join is that with the documents: none above it shuffles a text for each row
+    assert len(joins) > 3 and "doc_id" in joins[0]
+    assert not any("doc_id" in line for line in joins[1:])
