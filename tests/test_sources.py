@@ -177,3 +177,11 @@ def test_commitments_meet_their_texts_last(spark, sf_dir):
     # the uppermost join is that with the documents: none above it shuffles a text for each row
     assert len(joins) > 3 and "doc_id" in joins[0]
     assert not any("doc_id" in line for line in joins[1:])
+
+
+def test_csv_scan_writes_compressed_files(spark, sf_dir):
+    from ledgerlens.plans.catalog import QUERIES
+    found = QUERIES["csv_scan"](spark, sf_dir)
+    files = found.inputFiles()
+    assert files and all(name.endswith(".csv.gz") for name in files)
+    assert found.count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
