@@ -206,3 +206,16 @@ def test_a_failed_training_leaves_the_last_version(spark, tables, trained, monke
         jobs.training_job(*tables, store, algorithm="rf", floor=20, options=TINY)
     assert before is not None and store.current().version == before
     assert jobs.Models.load(store, "rf").codes
+
+
+def test_prepared_bags_are_counted_once(spark, sf_dir):
+    from ledgerlens.plans.features import WORDS, counted_terms
+    from ledgerlens.plans.standin import commitments
+    rows = commitments(spark, sf_dir).limit(20)
+    prepared = prepare(rows, S.CODE_CATEGORIES, [S.ID], "hashed+dense")
+    for name in (TERMS, WORDS):
+        assert prepared.schema[name].dataType.elementType.fieldNames() == ["term", "tf"]
+        counted = counted_terms(prepared, name)
+        # read from the prepared rows themselves, not written out again
+        assert set(counted.inputFiles()) == set(prepared.inputFiles())
+        assert counted.groupBy(ROW, "term").count().where("count > 1").isEmpty()
