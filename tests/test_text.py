@@ -100,3 +100,24 @@ def test_names(header, name):
 def test_name_collision_is_an_error(spark):
     with pytest.raises(ValueError, match="collide"):
         normalise_columns(spark.createDataFrame([(1, 2)], "`Ação` int, `acao` int"))
+
+
+def test_words_without_a_listed_ending_skip_the_rules(spark):
+    from ledgerlens.functions.stemming import CHANGEABLE, listed_suffixes
+    kept = ["amplo", "banco", "und", "Verb", "club", "wind"]
+    assert not any(word.endswith(tuple(CHANGEABLE)) for word in kept)
+    rows = spark.createDataFrame([(word,) for word in kept], "word string")
+    found = rows.select("word", stem(F.col("word")).alias("a"),
+                        listed_suffixes(F.col("word")).alias("b")).collect()
+    assert all(r.a == r.word.lower() and r.b == r.word for r in found)
+
+
+def test_index_terms_of_letters_alone_are_not_searched_for(spark):
+    def terms(column):
+        return text.index_terms(column)
+    plan = spark.range(1).select(terms(F.split(F.lit("a bc"), " ")).alias("t"))
+    assert "CASE WHEN" in plan._jdf.queryExecution().analyzed().toString()
+    for words, wanted in ((["a", "bc", "def"], ["bc", "def"]), (["l'eau", "x1yz"], ["eau", "yz"]),
+                          ([], []), (["a"], [])):
+        rows = spark.createDataFrame([(words,)], "t array<string>")
+        assert rows.select(terms("t").alias("x")).first()["x"] == wanted
