@@ -213,8 +213,9 @@ def test_prepared_bags_are_counted_once(spark, sf_dir):
     from ledgerlens.plans.standin import commitments
     rows = commitments(spark, sf_dir).limit(20)
     prepared = prepare(rows, S.CODE_CATEGORIES, [S.ID], "hashed+dense")
+    assert prepared.schema[TERMS].dataType.elementType.fieldNames() == ["term", "tf"]
+    assert prepared.schema[WORDS].dataType.elementType.simpleString() == "string"
     for name in (TERMS, WORDS):
-        assert prepared.schema[name].dataType.elementType.fieldNames() == ["term", "tf"]
         counted = counted_terms(prepared, name)
         # read from the prepared rows themselves, not written out again
         assert set(counted.inputFiles()) == set(prepared.inputFiles())
