@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.tables import text_rows
+from ledgerlens.llm.tables import text_of, text_rows
 from ledgerlens.sources.staging import staged
 
 SCOPE = 400
@@ -80,15 +80,18 @@ def _joined(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def found_parts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, th, rid (names the row once the table is written), base and weak parts."""
-    rows = text_rows(docs, key, text)
-    lists = rows.select(
-        "doc_id", "th", *[_spans(F.col("text"), *p).alias(p[0]) for p in BASE + WEAK])
+def with_parts(rows: DataFrame, text: Column) -> DataFrame:
+    """rows plus rid (names the row once the table is written), base and weak parts."""
+    lists = rows.select("*", *[_spans(text, *p).alias(f"_{p[0]}") for p in BASE + WEAK])
     return lists.select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id", "th",
-        F.concat(*[F.col(p[0]) for p in BASE]).alias("base"),
-        F.concat(*[F.col(p[0]) for p in WEAK]).alias("weak"))
+        F.monotonically_increasing_id().alias("rid"), *rows.columns,
+        F.concat(*[F.col(f"_{p[0]}") for p in BASE]).alias("base"),
+        F.concat(*[F.col(f"_{p[0]}") for p in WEAK]).alias("weak"))
+
+
+def found_parts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, th, rid, base and weak parts."""
+    return with_parts(text_rows(docs, key, text), F.col("text")).drop("text")
 
 
 def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -136,6 +139,24 @@ def credential_parts(docs: DataFrame, key: str = "doc_id", text: str = "text",
         F.coalesce("linked", F.array().cast(_PART)).alias("linked"))
 
 
+def redacted_rows(rows: DataFrame, text: str, scope: int = SCOPE) -> DataFrame:
+    """rows with the secrets of the column `text` replaced, and `spans`, what was found in each.
+
+    Only texts with weak parts are shuffled, to meet what was linked; the others stay where they
+    are. Column names of rows must not be rid, base, weak, linked or spans.
+    """
+    parts = staged(with_parts(rows, text_of(text)), "parts")
+    more = staged(linked(parts, scope), "linked")
+    none = F.array().cast(_PART)
+    met = parts.where(F.size("weak") > 0).join(more, "rid", "left").withColumn(
+        "spans", F.concat("base", F.coalesce("linked", none)))
+    alone = parts.where(F.size("weak") == 0).withColumn("spans", F.col("base"))
+    names = [*rows.columns, "spans"]
+    return met.select(*names).unionByName(alone.select(*names)).withColumn(
+        text, F.when(F.size("spans") > 0, redacted(F.col(text), F.col("spans")))
+        .otherwise(F.col(text)))
+
+
 def secrets(docs: DataFrame, key: str = "doc_id", text: str = "text",
             scope: int = SCOPE) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256 (of the base spans by

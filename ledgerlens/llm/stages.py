@@ -46,19 +46,14 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by a mark; n_chars, where there, follows."""
-    found = secrets.credential_parts(docs).withColumn("_spans", F.concat("base", "linked"))
-    some = key_of(found.where(F.size("_spans") > 0), "_spans").dropDuplicates(KEYS)
     rows, names = masked(docs)
     text = place(names, "text")
-    out = keyed(rows, place(names, "doc_id"), text).join(some, KEYS, "left")
-    out = out.withColumn(text, F.when(
-        F.col("_spans").isNotNull(), secrets.redacted(F.col(text), F.col("_spans")))
-        .otherwise(F.col(text)))
+    out = secrets.redacted_rows(rows, text)
     if "n_chars" in docs.columns:
         size = place(names, "n_chars")
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn(size, F.when(
-            F.col("_spans").isNotNull(), F.length(text).cast(kind)).otherwise(F.col(size)))
+            F.size("spans") > 0, F.length(text).cast(kind)).otherwise(F.col(size)))
     return unmasked(out, names)
 
 

@@ -23,6 +23,7 @@ from ledgerlens.llm import (  # noqa: E402
     personal,
     queries,
     secrets,
+    stages,
     toxicity,
 )
 from ledgerlens.llm import words as W  # noqa: E402
@@ -228,6 +229,20 @@ def test_linking_equals_all_pairs(spark):
         assert found[doc_id] == wanted
 
 
+def test_redaction_shuffles_texts_with_weak_parts_only(spark):
+    base, weak = "AKIA" + "Z" * 16, "aB3" + "x" * 37
+    texts = [(1, "plain", 5), (2, f"{base} end", 24), (3, f"{weak} alone", 46), (None, None, None),
+             (4, f"{base} then {weak}", 66), (4, f"{base} then {weak}", 66)]
+    out = stages.redact_secrets(
+        spark, spark.createDataFrame(texts, "doc_id long, text string, n_chars int"), "")
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([
+        (1, "plain", 5), (2, "[secret] end", 12), (3, f"{weak} alone", 46), (None, None, None),
+        (4, "[secret] then [secret]", 22), (4, "[secret] then [secret]", 22)], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join"):plan.rindex("Filter")]
+    assert "size(weak" in joined and "> 0" in joined and "Aggregate" not in joined
+
+
 # -- personal data ----------------------------------------------------------------------------
 
 def check_personal(rows, got):
