@@ -8,6 +8,7 @@ from functools import cache
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -334,6 +335,75 @@ def test_linked_texts_share_a_rarest_word():
                 near.rarest(theirs, frequency, 0.8, other))
 
 
+def test_linked_texts_share_a_surviving_gram():
+    """For any order of grams that none of the two has for itself, and words that repeat."""
+    random.seed(11)
+    met = 0
+    for _ in range(400):
+        levels = np.array(random.choices(range(2, 6), k=64), np.uint8).repeat(
+            near.GRAM_SLOTS // 64)
+        n, few = random.randint(1, 60), random.choice([8, 40, 1000])
+        one = [random.randint(1, few) for _ in range(n)]
+        two = list(one)
+        for _ in range(int(0.2 * n)):
+            at = random.randrange(len(two))
+            two[at:at + 1] = random.choice([[], [random.randint(1, few)],
+                                            [two[at], random.randint(1, few)]]) or two[at:at + 1]
+        a, b = np.array(one, np.uint64), np.array(two, np.uint64)
+        if near.verdict(a, b)[0]:
+            met += 1
+            assert set(near.surviving(near.W.mix(a), levels, 0.8)) & set(
+                near.surviving(near.W.mix(b), levels, 0.8))
+    assert met > 200
+
+
+def test_gram_levels(spark):
+    rows = [(i, "a b c d" if i < 8 else f"x{i} a b") for i in range(11)]
+    levels = near.gram_levels(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    data, bounds = near.W.texts(pa.array(["a b c d"]))
+    grams = near._grams(near.W.find(data, bounds, near.W.SPACES, near.W.SAME).hash)
+    got = [[int(levels[int(x) % near.GRAM_SLOTS]) for x in some] for some in grams]
+    eight, eleven = 1 + 8 * 3, 1 + int(8 * np.log2(11))
+    assert got == [[eleven, eleven, eight, eight], [eleven, eight, eight], [eight, eight]]
+
+
+def test_word_bounds_equal_verdicts(spark):
+    """Pairs settled by their words alone have the verdict and share of the whole texts."""
+    random.seed(12)
+    texts = {i.to_bytes(2, "big"): " ".join(random.choices("abcdefghij", k=random.randint(1, 40)))
+             for i in range(60)}
+    bodies = spark.createDataFrame(list(texts.items()), "tid binary, text string")
+    bags = near.bags(bodies)
+    pairs = bags.crossJoin(bags.toDF("leader", "other"))
+    settled = 0
+    for r in near.bounded(pairs, 0.8).collect():
+        a, b = (np.array([ord(x) for x in texts[bytes(r[k])].split()]) for k in ("tid", "leader"))
+        if r["linked"] is False:
+            settled += 1
+            assert not near.verdict(a, b)[0] and r["share"] <= near.verdict(a, b)[1]
+    assert settled > 1000
+
+
+def test_texts_of_one_passage_do_not_meet_by_its_words(spark, monkeypatch):
+    """Texts of one vocabulary that share a passage: the grams of each are enough to stay apart."""
+    random.seed(13)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join([*passage, *(f"v{random.randint(0, 400)}" for _ in range(60))]))
+            for i in range(150)]
+    staged, seen = near.staged, []
+
+    def counted(table, label):
+        out = staged(table, label)
+        if label == "members":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(near, "staged", counted)
+    out = near.near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["class_id"] for r in out.collect()} == dict(brute.near_classes(rows))
+    assert seen[0] > 1000 and sum(seen[1:]) < 150
+
+
 def test_near_edge_cases(edge, nothing):
     out = near.near_classes(edge).collect()
     assert len(out) == len(EDGE)
