@@ -38,8 +38,18 @@ def usable(vector: str) -> Column:
     return F.col(vector).isNotNull() & ~F.coalesce(bad, F.lit(False))
 
 
+def narrowest(matrix: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the smallest type that holds them all."""
+    low, high = matrix.min(initial=0), matrix.max(initial=0)
+    for kind in (np.int8, np.int16, np.int32):
+        if np.iinfo(kind).min <= low and high <= np.iinfo(kind).max:
+            return matrix.astype(kind)
+    return matrix
+
+
 def blocks(rows: DataFrame, size: int, scale: float, label: str) -> DataFrame:
-    """(rid, id, vector) -> (block, rids, ids, dims, data): vectors of a block, vertically."""
+    """(rid, id, vector) -> (block, rids, ids, dims, kind, data): vectors of a block, vertically,
+    numbers of the type ``kind``."""
     count = max(1, -(-rows.count() // size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,18 +66,20 @@ def blocks(rows: DataFrame, size: int, scale: float, label: str) -> DataFrame:
         row = np.repeat(np.arange(len(n)), n)
         place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         matrix[place, row] = np.floor(scale * vectors.flatten().to_numpy().astype(np.float64))
+        matrix = narrowest(matrix)
         yield pa.RecordBatch.from_arrays(
             [table.column("part").combine_chunks().slice(0, 1).cast(pa.int64()),
              pa.array([table.column("rid").to_numpy().tobytes()], pa.binary()),
              pa.array([table.column("id").to_numpy().tobytes()], pa.binary()),
-             pa.array([dims], pa.int32()), pa.array([matrix.tobytes()], pa.binary())],
-            names=["block", "rids", "ids", "dims", "data"])
+             pa.array([dims], pa.int32()), pa.array([matrix.dtype.name]),
+             pa.array([matrix.tobytes()], pa.binary())],
+            names=["block", "rids", "ids", "dims", "kind", "data"])
 
     # every partition is one block: a repartition without a key deals rows out evenly
     dealt = rows.repartition(count).select("rid", "id", "vector",
                                            F.spark_partition_id().alias("part"))
     return staged(dealt.mapInArrow(
-        run, "block long, rids binary, ids binary, dims int, data binary"), label)
+        run, "block long, rids binary, ids binary, dims int, kind string, data binary"), label)
 
 
 def best(q: np.ndarray, c: np.ndarray, q_rid: np.ndarray, c_rid: np.ndarray, ids: np.ndarray,
@@ -163,7 +175,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
             for row in batch.to_pylist():
                 rids = {p: np.frombuffer(row[f"{p}rids"], np.int64) for p in ("", "q_")}
                 ids = {p: np.frombuffer(row[f"{p}ids"], np.int64) for p in ("", "q_")}
-                data = {p: np.frombuffer(row[f"{p}data"]).reshape(row[f"{p}dims"], -1)
+                data = {p: np.frombuffer(row[f"{p}data"], row[f"{p}kind"]).astype(
+                    np.float64).reshape(row[f"{p}dims"], -1)
                         if row[f"{p}dims"] else np.zeros((0, len(ids[p]))) for p in ("", "q_")}
                 q, c, s = best(data["q_"], data[""], rids["q_"], rids[""], ids[""], k)
                 q, c = q.astype(np.int64), c.astype(np.int64)
@@ -171,7 +184,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
                     [pa.array(rids["q_"][q]), pa.array(ids["q_"][q]), pa.array(ids[""][c]),
                      pa.array(s.astype(np.int64))], names=["rid", "query_id", "vec_id", "score"])
 
-    met = pairs.join(known, "block").repartition(
+    # Blocks of queries repeat for each block of candidates, which an estimate of their size does not
+    # see: never send them to all tasks by way of the driver.
+    met = pairs.hint("merge").join(known, "block").repartition(
         max(1, min(len(numbers) * max(1, asked.count()), 1 << 20)))
     found = met.mapInArrow(run, "rid long, query_id long, vec_id long, score long")
     order = Window.partitionBy("rid").orderBy(F.desc("score"), "vec_id")
