@@ -9,7 +9,7 @@ class Asked(Exception):
     pass
 
 
-@pytest.mark.parametrize("name", ["rf_code", "dense_rf", "dense_linear"])
+@pytest.mark.parametrize("name", ["rf_code", "dense_rf", "dense_linear", "svm_code"])
 def test_registered_models_are_whole(spark, monkeypatch, name):
     """All trees at full depth, all penalties, all iterations, vectors of full size."""
     def stop(*given):
